@@ -32,12 +32,10 @@ def prefix_sums(
     )
     if by:
         keyed = counts.join(F.broadcast(borders), by)
-        border_list = F.col("_borders")
     else:
-        keyed = counts
-        border_list = borders.scalar()
+        keyed = counts.withColumn("_borders", borders.scalar())
     value = F.col(order)
-    bucket = F.size(F.filter(border_list, lambda b: b < value))
+    bucket = F.size(F.filter("_borders", lambda b: b < value))
     keyed = keyed.withColumn("_bucket", F.coalesce(bucket, F.lit(0))).drop("_borders")
 
     def direction(c: str) -> Column:
