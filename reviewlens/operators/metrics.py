@@ -150,22 +150,18 @@ def macro_f1_sweep(df: DataFrame, score: str = "score", y: str = "y") -> DataFra
     their place on the grid and then summed from the top.
     """
     grid = _grid()
-    place = F.size(F.filter(F.array(*[F.lit(g) for g in grid]), lambda g: g <= F.col(score)))
-    cells = df.filter(F.col(score).isNotNull()).groupBy(place.alias("place")).agg(
-        F.sum(F.col(y).cast("long")).alias("pos"),
-        F.sum((1 - F.col(y)).cast("long")).alias("neg"),
+    place = F.size(F.filter(F.lit(grid), lambda g: g <= F.col("score")))
+    cells = score_counts(df, score, y).groupBy(place.alias("place")).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
     reached = (
-        cells.filter(F.col("place") > 0)
-        .select(F.explode(F.sequence(F.lit(1), "place")).alias("i"), "pos", "neg")
+        cells.select(F.explode(F.sequence(F.lit(0), "place")).alias("i"), "pos", "neg")
         .groupBy("i").agg(F.sum("pos").alias("tp"), F.sum("neg").alias("fp"))
     )
-    points = F.array(*[
-        F.struct(F.lit(i + 1).alias("i"), F.lit(g).alias("threshold")) for i, g in enumerate(grid)
-    ])
     return (
         cells.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-        .select("P", "N", F.inline(points))
+        .select("P", "N", F.posexplode(F.lit(grid)).alias("i", "threshold"))
+        .withColumn("i", F.col("i") + 1)
         .join(reached, "i", "left").na.fill(0, ["tp", "fp"])
         .withColumns({"fn": F.col("P") - F.col("tp"), "tn": F.col("N") - F.col("fp")})
         .select("threshold", *f1_columns())

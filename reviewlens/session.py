@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +53,23 @@ def hand_over(
         build().write.mode("overwrite").parquet(path)
         _handed_over[key] = path
     return spark.read.parquet(_handed_over[key])
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: cuts the lineage, and
+    later readers fetch only the columns they use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Bound the rows per Arrow batch while tables with wide rows are written."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
