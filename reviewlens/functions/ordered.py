@@ -67,11 +67,12 @@ def prefix_sums(
 
 def quantiles(
     df: DataFrame, value: str, probabilities: list[float], by: list[str] = (),
-    accuracy: int | None = None,
+    accuracy: int | None = None, weight: str | None = None,
 ) -> DataFrame:
     """One row per ``by`` group with ``n`` and ``q``, an array of quantiles.
 
-    Exact with linear interpolation; with ``accuracy`` set, approximate.
+    Exact with linear interpolation; with ``accuracy`` set, approximate. A row
+    counts ``weight`` times in the exact form.
     """
     by = list(by)
     df = df.filter(F.col(value).isNotNull())
@@ -80,7 +81,8 @@ def quantiles(
             F.count(F.lit(1)).alias("n"),
             F.percentile_approx(value, probabilities, accuracy).cast("array<double>").alias("q"),
         )
-    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    copies = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.groupBy(*by, value).agg(copies.cast("long").alias("n"))
     summed = prefix_sums(counts, value, ["n"], by)
     totals = counts.groupBy(*by).agg(F.sum("n").alias("_total"))
     if by:

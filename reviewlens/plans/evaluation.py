@@ -167,7 +167,7 @@ def feature_deltas(spark, sf):
     return rounded(M.feature_deltas(_judged(spark, sf), DELTA_FEATURES), 5)
 
 
-def _hash(seed: int, key: str) -> str:
+def row_hash(seed: int, key: str) -> str:
     return f"md5('{seed}|' || CAST({key} AS VARCHAR))"
 
 
@@ -178,7 +178,7 @@ def _size_class(c: str) -> str:
 def _user_folds(name: str, source: str, folds: int, seed: int) -> tuple[str, str]:
     return (name, f"""
       SELECT user_id, CAST((row_number() OVER (PARTITION BY {_size_class('n')}, {_size_class('pos')}
-                ORDER BY {_hash(seed, 'user_id')}) - 1) % {folds} AS INTEGER) AS fold
+                ORDER BY {row_hash(seed, 'user_id')}) - 1) % {folds} AS INTEGER) AS fold
       FROM (SELECT user_id, count(*) AS n, sum(CASE WHEN label = -1 THEN 1 ELSE 0 END) AS pos
             FROM {source} GROUP BY user_id)""")
 
@@ -196,27 +196,27 @@ def group_stratified_folds(spark, sf):
     )
 
 
-_PARTS = [CORE, _user_folds("fifths", "core", 5, 42),
+PARTS = [CORE, _user_folds("fifths", "core", 5, 42),
           ("held", "SELECT core.* FROM core JOIN fifths USING (user_id) WHERE fold = 0"),
           _user_folds("halves", "held", 2, 43),
           ("parts", """SELECT f.user_id, CASE WHEN f.fold <> 0 THEN 'train' WHEN h.fold = 0 THEN 'val'
                        ELSE 'test' END AS part FROM fifths f LEFT JOIN halves h USING (user_id)""")]
 
 
-@query("split_80_10_10", with_ctes(_PARTS, """
+@query("split_80_10_10", with_ctes(PARTS, """
     SELECT review_id, user_id, part FROM core JOIN parts USING (user_id)"""))
 def split_80_10_10(spark, sf):
     return S.split_80_10_10(_labelled(spark, sf)).select("review_id", "user_id", "part")
 
 
-@query("group_disjointness", with_ctes(_PARTS, """
+@query("group_disjointness", with_ctes(PARTS, """
     SELECT user_id, count(DISTINCT part) AS n_parts FROM core JOIN parts USING (user_id)
     GROUP BY user_id HAVING count(DISTINCT part) > 1"""))
 def group_disjointness(spark, sf):
     return S.group_disjointness(S.split_80_10_10(_labelled(spark, sf)))
 
 
-@query("split_report", with_ctes(_PARTS, f"""
+@query("split_report", with_ctes(PARTS, f"""
     SELECT part, count(*) AS n_rows, count(DISTINCT user_id) AS n_users,
            {r('avg(CASE WHEN label = -1 THEN 1 ELSE 0 END)', 'positive_rate')}
     FROM core JOIN parts USING (user_id) GROUP BY part"""))
@@ -226,14 +226,14 @@ def split_report(spark, sf):
 
 @query("stratified_half", with_ctes([CORE, SCORED], f"""
     SELECT review_id, y, CAST((row_number() OVER (PARTITION BY y
-             ORDER BY {_hash(42, 'review_id')}) - 1) % 2 AS INTEGER) AS half
+             ORDER BY {row_hash(42, 'review_id')}) - 1) % 2 AS INTEGER) AS half
     FROM scored"""))
 def stratified_half(spark, sf):
     return S.stratified_half(fixture.scored(spark, sf)).select("review_id", "y", "half")
 
 
 @query("train_subsample", with_ctes(
-    [*_PARTS, ("train", "SELECT core.* FROM core JOIN parts USING (user_id) WHERE part = 'train'"),
+    [*PARTS, ("train", "SELECT core.* FROM core JOIN parts USING (user_id) WHERE part = 'train'"),
      _user_folds("quarters", "train", 4, 42)], """
     SELECT review_id, user_id FROM train JOIN quarters USING (user_id) WHERE fold < 1"""))
 def train_subsample(spark, sf):
@@ -241,7 +241,7 @@ def train_subsample(spark, sf):
     return S.train_subsample(train, 0.25).select("review_id", "user_id")
 
 
-@query("holdout_semi", with_ctes([*L1, PROFILES, *_PARTS[1:]], f"""
+@query("holdout_semi", with_ctes([*L1, PROFILES, *PARTS[1:]], f"""
     SELECT user_id, {r('spam_rate', 'spam_rate')}, review_count FROM profiles
     WHERE user_id IN (SELECT user_id FROM parts WHERE part = 'test')"""))
 def holdout_semi(spark, sf):
