@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlens.session import store
+
 BUCKETS = 200
 DEAL_HEX_DIGITS = 3
 
@@ -18,13 +20,14 @@ def _border_fractions() -> list[float]:
     return [i / BUCKETS for i in range(1, BUCKETS)]
 
 
-def prefix_sums(
+def summed_counts(
     counts: DataFrame, order: str, sums: list[str], by: list[str] = (), descending: bool = False
 ) -> DataFrame:
     """Add ``cum_<c>``: the sum of ``c`` over rows up to and including this one.
 
-    ``counts`` holds one row per (by..., order) value. Rows are ordered by
-    ``order`` within each ``by`` combination; there should be few of those.
+    ``counts`` holds one row per (by..., order) value and should be a stored
+    table, as it is read three times. Rows are ordered by ``order`` within each
+    ``by`` combination; there should be few of those.
     """
     by = list(by)
     borders = counts.groupBy(*by).agg(
@@ -82,8 +85,8 @@ def quantiles(
             F.percentile_approx(value, probabilities, accuracy).cast("array<double>").alias("q"),
         )
     copies = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = df.groupBy(*by, value).agg(copies.cast("long").alias("n"))
-    summed = prefix_sums(counts, value, ["n"], by)
+    counts = store(df.groupBy(*by, value).agg(copies.cast("long").alias("n")), "counts")
+    summed = summed_counts(counts, value, ["n"], by)
     totals = counts.groupBy(*by).agg(F.sum("n").alias("_total"))
     if by:
         placed = summed.join(F.broadcast(totals), by)

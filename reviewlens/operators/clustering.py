@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from multiprocessing.pool import ThreadPool
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlens.session import spread
+
 CLUSTER_FEATURES = [
     "review_count", "reviews_per_week", "tenure_days", "avg_rating", "rating_std",
     "unique_sellers", "max_seller_fraction", "burst_score", "rating_entropy", "avg_review_length",
@@ -21,6 +25,7 @@ PROFILE_FEATURES = [
 K_RANGE = range(2, 13)
 AMBIGUOUS_K = 5
 SEED = 42
+CONCURRENT_FITS = 8
 BASE_SPAM_RATE = 0.132
 
 # fixed values: feature -> (comparison, ratio to the overall mean, tag), first match wins
@@ -84,21 +89,35 @@ def as_vectors(df: DataFrame, columns: list[str], out: str = "features") -> Data
     return VectorAssembler(inputCols=columns, outputCol=out).transform(df)
 
 
-def best_kmeans(vectors: DataFrame, k: int, restarts: int, seed: int = SEED) -> KMeansModel:
-    """The fit with the least inertia over several seeds."""
-    fits = (KMeans(k=k, seed=seed + i, maxIter=50).fit(vectors) for i in range(restarts))
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def best_kmeans(
+    vectors: DataFrame, ks: list[int], restarts: int, seed: int = SEED
+) -> dict[int, KMeansModel]:
+    """For each k the fit with the least inertia over several seeds.
+
+    The fits are independent, so a few of them are submitted side by side.
+    """
+    def fit(job: tuple[int, int]) -> KMeansModel:
+        return KMeans(k=job[0], seed=seed + job[1], maxIter=50).fit(vectors)
+
+    jobs = [(k, i) for k in ks for i in range(restarts)]
+    with ThreadPool(CONCURRENT_FITS) as pool:
+        models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), jobs, 1)
+    best: dict[int, KMeansModel] = {}
+    for (k, _), model in zip(jobs, models):
+        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = model
+    return best
 
 
 def kmeans_sweep(
     scaled: DataFrame, columns: list[str], ks: range = K_RANGE, restarts: int = 10
 ) -> DataFrame:
     """Inertia and silhouette for each k; all reviewers count, none are sampled."""
-    vectors = as_vectors(scaled, columns).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = spread(as_vectors(scaled, columns).select("features"))
+    vectors.persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
     try:
-        for k in ks:
-            model = best_kmeans(vectors, k, restarts)
+        for k, model in best_kmeans(vectors, list(ks), restarts).items():
             silhouette = ClusteringEvaluator().evaluate(model.transform(vectors))
             rows.append((k, float(model.summary.trainingCost), float(silhouette)))
     finally:
@@ -133,10 +152,10 @@ def kmeans_assign(
     scaled: DataFrame, columns: list[str], k: int, restarts: int = 20, seed: int = SEED
 ) -> DataFrame:
     """(user_id, cluster_id); clusters are numbered in the order of their centres."""
-    vectors = as_vectors(scaled, columns).select("user_id", "features")
+    vectors = spread(as_vectors(scaled, columns).select("user_id", "features"))
     vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = best_kmeans(vectors, k, restarts, seed)
+        model = best_kmeans(vectors, [k], restarts, seed)[k]
     finally:
         vectors.unpersist()
     centres = [tuple(c) for c in model.clusterCenters()]

@@ -1,7 +1,7 @@
 """Ranking and threshold metrics from (score, y) pairs.
 
 Scores are aggregated to one row per distinct value first; cumulative counts
-come from ``prefix_sums``, so no step sorts all rows in one task.
+come from ``summed_counts``, so no step sorts all rows in one task.
 """
 
 from __future__ import annotations
@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.functions.ordered import prefix_sums
+from reviewlens.functions.ordered import summed_counts
+from reviewlens.session import store
 
 SWEEP_POINTS = 197
 ECE_BINS = 10
@@ -26,8 +27,9 @@ def score_counts(df: DataFrame, score: str = "score", y: str = "y", by: list[str
 def curve(counts: DataFrame, by: list[str] = ()) -> DataFrame:
     """Per distinct score s: tp and fp of the rule ``score >= s``, with P and N."""
     by = list(by)
+    counts = store(counts, "scores")
     totals = counts.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    summed = prefix_sums(counts, "score", ["pos", "neg"], by, descending=True)
+    summed = summed_counts(counts, "score", ["pos", "neg"], by, descending=True)
     summed = summed.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
     if by:
         return summed.join(F.broadcast(totals), by)

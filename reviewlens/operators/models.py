@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from reviewlens.functions.columns import logit, one_hot
 from reviewlens.operators import metrics as M
 from reviewlens.operators.fusion import median_impute, with_balanced_weight
+from reviewlens.session import spread
 
 SEED = 42
 APPROXIMATE = 10_000
@@ -56,7 +57,7 @@ def train_decision_tree(train: DataFrame, columns: list[str]) -> PipelineModel:
     classifier = DecisionTreeClassifier(
         labelCol="y", weightCol="weight", maxDepth=10, seed=SEED, maxMemoryInMB=1024
     )
-    return _pipeline(columns, True, classifier).fit(with_balanced_weight(train))
+    return _pipeline(columns, True, classifier).fit(spread(with_balanced_weight(train)))
 
 
 def train_random_forest(
@@ -66,7 +67,7 @@ def train_random_forest(
         labelCol="y", weightCol="weight", numTrees=trees, maxDepth=depth, seed=SEED,
         maxMemoryInMB=2048,
     )
-    return _pipeline(columns, False, classifier).fit(with_balanced_weight(train))
+    return _pipeline(columns, False, classifier).fit(spread(with_balanced_weight(train)))
 
 
 def train_mlp(train: DataFrame, columns: list[str]) -> PipelineModel:
@@ -74,7 +75,7 @@ def train_mlp(train: DataFrame, columns: list[str]) -> PipelineModel:
     classifier = MultilayerPerceptronClassifier(
         labelCol="y", layers=[len(columns), 128, 64, 2], seed=SEED, maxIter=100
     )
-    return _pipeline(columns, True, classifier).fit(train)
+    return _pipeline(columns, True, classifier).fit(spread(train))
 
 
 TRAINERS = {
@@ -126,7 +127,7 @@ def stack(rows: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
     """Balanced logistic regression fitted on half 0; scores of half 1."""
     fit, held = rows.filter(F.col("half") == 0), rows.filter(F.col("half") == 1)
     classifier = LogisticRegression(labelCol="y", weightCol="weight", maxIter=200)
-    model = _pipeline(columns, True, classifier).fit(with_balanced_weight(fit))
+    model = _pipeline(columns, True, classifier).fit(spread(with_balanced_weight(fit)))
     return score(model, held, keep)
 
 

@@ -28,6 +28,7 @@ CURVE_BITS = 60
 PARTNERS_PER_TASK = 64
 WIDE_ROWS = 128       # rows per Arrow batch when a row carries a block
 SLACK = 1e-9
+ESTIMATE_MARGIN = 1e-12  # bounds the rounding of |a|^2 + |b|^2 - 2ab
 
 
 @dataclass
@@ -123,15 +124,15 @@ def pack(points: DataFrame, features: list[str]) -> Blocks:
     return Blocks(rows, total, len(features))
 
 
-def _gap2(dims: int, a: tuple[str, str], b: tuple[str, str]) -> Column:
+def _gap2(a: tuple[str, str], b: tuple[str, str]) -> Column:
     """Squared distance between two boxes."""
-    total = F.lit(0.0)
-    for i in range(dims):
-        apart = F.greatest(
-            F.lit(0.0), F.col(a[0])[i] - F.col(b[1])[i], F.col(b[0])[i] - F.col(a[1])[i]
-        )
-        total = total + apart * apart
-    return total
+    def minus(x: str, y: str) -> Column:
+        return F.zip_with(x, y, lambda p, q: p - q)
+
+    apart = F.zip_with(
+        minus(a[0], b[1]), minus(b[0], a[1]), lambda p, q: F.greatest(p, q, F.lit(0.0))
+    )
+    return F.aggregate(apart, F.lit(0.0), lambda total, gap: total + gap * gap)
 
 
 def _tree(leaves: DataFrame, key: str, lo: str, hi: str, levels: int, dims: int,
@@ -177,7 +178,7 @@ def near_pairs(
                 .join(a.withColumn("_pa", F.shiftright("a", FAN_BITS)), "_pa")
                 .join(b.withColumn("_pb", F.shiftright("b", FAN_BITS)), "_pb")
             )
-        gap2 = _gap2(blocks.dims, ("alo", "ahi"), ("blo", "bhi"))
+        gap2 = _gap2(("alo", "ahi"), ("blo", "bhi"))
         pairs = met.withColumn("gap2", gap2).filter(wanted).select("a", "b", "gap2")
     return store(pairs, name)
 
@@ -244,29 +245,35 @@ class _Nearest:
         return np.where(enough.any(axis=1), found, np.inf)
 
     def offer(self, pid: np.ndarray, x: np.ndarray, w: np.ndarray) -> None:
-        d2 = squared_distances(self.x, x)
-        weight = np.broadcast_to(w, d2.shape)
+        """Take in base points. A fast estimate with a safe margin finds the few
+        candidates; only their exact distances are compared."""
+        norm_a, norm_b = (self.x ** 2).sum(axis=1), (x ** 2).sum(axis=1)
+        estimate = norm_a[:, None] + norm_b[None, :] - 2.0 * (self.x @ x.T)
+        margin = ESTIMATE_MARGIN * (1.0 + norm_a.max() + norm_b.max())
+        limit = self.d2[:, -1] * (1 + SLACK) + margin
+        i, j = np.nonzero(estimate <= limit[:, None])
+        weight = w[j]
         if not self.include_self:
-            mine = self.pid[:, None] == pid[None, :]
-            weight = np.where(mine, weight - 1, weight)
-            d2 = np.where(weight > 0, d2, np.inf)
-        all_d2 = np.concatenate([self.d2, d2], axis=1)
-        all_id = np.concatenate([self.ids, np.broadcast_to(pid, d2.shape)], axis=1)
-        all_w = np.concatenate([self.w, weight], axis=1)
-        if all_d2.shape[1] > 4 * self.k:
-            near = np.argpartition(all_d2, self.k, axis=1)[:, :self.k]
-            # equal distances at the border are settled by id, so take all of them
-            edge = np.take_along_axis(all_d2, near, axis=1).max(axis=1, keepdims=True)
-            ties = (all_d2 <= edge).sum(axis=1).max()
-            if ties > self.k and np.isfinite(edge).all():
-                near = np.argpartition(all_d2, min(ties, all_d2.shape[1] - 1), axis=1)[:, :ties]
-            all_d2 = np.take_along_axis(all_d2, near, axis=1)
-            all_id = np.take_along_axis(all_id, near, axis=1)
-            all_w = np.take_along_axis(all_w, near, axis=1)
-        order = np.lexsort((all_id, all_d2), axis=1)[:, :self.k]
-        self.d2 = np.take_along_axis(all_d2, order, axis=1)
-        self.ids = np.take_along_axis(all_id, order, axis=1)
-        self.w = np.take_along_axis(all_w, order, axis=1)
+            weight = np.where(self.pid[i] == pid[j], weight - 1, weight)
+            i, j, weight = i[weight > 0], j[weight > 0], weight[weight > 0]
+        if not len(i):
+            return
+        exact = ((self.x[i] - x[j]) ** 2).sum(axis=1)
+        rows, counts = np.unique(i, return_counts=True)
+        width = int(counts.max())
+        at = np.searchsorted(rows, i)
+        column = np.arange(len(i)) - np.repeat(np.cumsum(counts) - counts, counts)
+        d2 = np.full((len(rows), width), np.inf)
+        ids = np.full((len(rows), width), -1, np.int64)
+        more = np.zeros((len(rows), width), np.int64)
+        d2[at, column], ids[at, column], more[at, column] = exact, pid[j], weight
+        d2 = np.concatenate([self.d2[rows], d2], axis=1)
+        ids = np.concatenate([self.ids[rows], ids], axis=1)
+        more = np.concatenate([self.w[rows], more], axis=1)
+        order = np.lexsort((ids, d2), axis=1)[:, :self.k]
+        self.d2[rows] = np.take_along_axis(d2, order, axis=1)
+        self.ids[rows] = np.take_along_axis(ids, order, axis=1)
+        self.w[rows] = np.take_along_axis(more, order, axis=1)
 
     def frame(self) -> pd.DataFrame:
         found = np.isfinite(self.d2)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions.ordered import deal
+from reviewlens.session import store
 
 SEED = 42
 
@@ -26,7 +27,7 @@ def user_folds(
     classed = users.select(
         user, _size_class(F.col("_n")).alias("_nc"), _size_class(F.col("_pos")).alias("_pc")
     )
-    return deal(classed, user, ["_nc", "_pc"], folds, seed, "fold").select(user, "fold")
+    return deal(store(classed, "users"), user, ["_nc", "_pc"], folds, seed, "fold").select(user, "fold")
 
 
 def group_stratified_folds(

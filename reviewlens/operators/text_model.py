@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.operators.fusion import with_balanced_weight
+from reviewlens.session import spread
 
 HASHED_TERMS = 1 << 16
 
@@ -23,7 +24,7 @@ def fit_text_model(train: DataFrame, text: str = "text", y: str = "y") -> Pipeli
         LogisticRegression(featuresCol="_tfidf", labelCol=y, weightCol="weight",
                            regParam=0.01, maxIter=50),
     ]
-    return Pipeline(stages=stages).fit(with_balanced_weight(train, y))
+    return Pipeline(stages=stages).fit(spread(with_balanced_weight(train, y)))
 
 
 def text_spam_prob(
@@ -43,7 +44,7 @@ def text_embedding(
     texts: DataFrame, keep: list[str], text: str = "text", size: int = 64, seed: int = 42
 ) -> DataFrame:
     """One mean-pooled word vector per text, beside its keys."""
-    terms = RegexTokenizer(inputCol=text, outputCol="_terms", pattern=r"\W+").transform(texts)
+    terms = RegexTokenizer(inputCol=text, outputCol="_terms", pattern=r"\W+").transform(spread(texts))
     model = Word2Vec(
         inputCol="_terms", outputCol="_vector", vectorSize=size, minCount=2, seed=seed,
         maxIter=1, numPartitions=max(1, terms.rdd.getNumPartitions()),

@@ -558,6 +558,7 @@ def gappy(spark, sf):
     gaps = S.split_80_10_10(reviews.select("review_id", "user_id", "is_spam", *_GAP_COLUMNS)).select(
         "review_id", "part", *[F.col(c).cast("double").alias(c) for c in _GAP_COLUMNS]
     )
+    gaps = store(gaps, "gaps")
     return gaps, gaps.filter("part = 'train'")
 
 

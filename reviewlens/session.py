@@ -63,6 +63,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core in iterative fits when a small table sits in few files."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int):
     """Bound the rows per Arrow batch while tables with wide rows are written."""
