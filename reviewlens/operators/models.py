@@ -65,7 +65,7 @@ def train_random_forest(
 ) -> PipelineModel:
     classifier = RandomForestClassifier(
         labelCol="y", weightCol="weight", numTrees=trees, maxDepth=depth, seed=SEED,
-        maxMemoryInMB=2048,
+        maxMemoryInMB=2048, cacheNodeIds=True,
     )
     return _pipeline(columns, False, classifier).fit(spread(with_balanced_weight(train)))
 
@@ -85,6 +85,15 @@ TRAINERS = {
 }
 
 
+def save_model(model: PipelineModel, path: str) -> str:
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def feature_importance(model: PipelineModel, columns: list[str], like: DataFrame) -> DataFrame:
     weights = model.stages[-1].featureImportances.toArray().tolist()
     return like.sparkSession.createDataFrame(

@@ -8,7 +8,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-from reviewlens.plans import evaluation, explore, learned, profiles, rules  # noqa: F401
+from reviewlens.plans import evaluation, explore, files, learned, profiles, rules  # noqa: F401
 from reviewlens.plans.registry import ORACLES, QUERIES  # noqa: F401
 
 _shipped: set[str] = set()
