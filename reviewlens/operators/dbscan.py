@@ -39,17 +39,17 @@ def _box(x: np.ndarray):
     return (x.min(axis=0), x.max(axis=0)) if len(x) else (None, None)
 
 
-def _count_inside(eps: float, min_samples: int, dims: int):
+def _count_inside(eps: float, min_samples: int, axes: np.ndarray):
     """Neighbours within a point's own block, itself included."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for row in batch.itertuples():
-                x = np.asarray(row.x).reshape(-1, dims)
+                x = np.asarray(row.x).reshape(-1, len(axes))
                 near = (squared_distances(x, x) <= eps * eps) @ np.asarray(row.w, np.int64)
                 still_open = near < min_samples
-                lo, hi = _box(x[still_open])
+                lo, hi = _box(x[still_open] @ axes)
                 out.append((row.block, row.pid, row.x, row.w, near, int(still_open.sum()), lo, hi))
             yield pd.DataFrame(out, columns=["block", "pid", "x", "w", "near", "n_open", "olo", "ohi"])
 
@@ -95,14 +95,14 @@ def _local_components(pid: np.ndarray, linked: np.ndarray) -> np.ndarray:
     return comp
 
 
-def _split_blocks(eps: float, min_samples: int, dims: int):
+def _split_blocks(eps: float, min_samples: int, axes: np.ndarray):
     """Core points with their component inside the block, and all other points."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for row in batch.itertuples():
-                pid, x = np.asarray(row.pid, np.int64), np.asarray(row.x).reshape(-1, dims)
+                pid, x = np.asarray(row.pid, np.int64), np.asarray(row.x).reshape(-1, len(axes))
                 near = np.array(row.near, np.int64)
                 if row.more is not None and len(row.more):
                     more = {m["pid"]: m["more"] for m in row.more}
@@ -110,8 +110,8 @@ def _split_blocks(eps: float, min_samples: int, dims: int):
                 core = near >= min_samples
                 cx, rx = x[core], x[~core]
                 comp = _local_components(pid[core], squared_distances(cx, cx) <= eps * eps)
-                out.append((row.block, pid[core], cx.ravel(), comp, *_box(cx),
-                            pid[~core], rx.ravel(), *_box(rx)))
+                out.append((row.block, pid[core], cx.ravel(), comp, *_box(cx @ axes),
+                            pid[~core], rx.ravel(), *_box(rx @ axes)))
             yield pd.DataFrame(out, columns=[
                 "block", "core_pid", "core_x", "core_comp", "clo", "chi",
                 "rest_pid", "rest_x", "rlo", "rhi"])
@@ -187,7 +187,7 @@ def _split(blocks: Blocks, eps: float, min_samples: int) -> DataFrame:
     with small_batches(spark, WIDE_ROWS):
         counted = store(
             blocks.rows.select("block", "pid", "x", "w")
-            .mapInPandas(_count_inside(eps, min_samples, dims), _COUNTED), "counted",
+            .mapInPandas(_count_inside(eps, min_samples, blocks.axes), _COUNTED), "counted",
         )
     pairs = near_pairs(
         _leaf(counted.filter("n_open > 0"), "a", "olo", "ohi", radius),
@@ -206,7 +206,7 @@ def _split(blocks: Blocks, eps: float, min_samples: int) -> DataFrame:
     with small_batches(spark, WIDE_ROWS):
         return store(
             counted.select("block", "pid", "x", "near").join(per_block, "block", "left")
-            .mapInPandas(_split_blocks(eps, min_samples, dims), _SPLIT), "split",
+            .mapInPandas(_split_blocks(eps, min_samples, blocks.axes), _SPLIT), "split",
         )
 
 

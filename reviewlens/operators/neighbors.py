@@ -1,7 +1,9 @@
 """Exact neighbour search by blocks of nearby points.
 
-Points are ordered along a Z-curve and cut into blocks of a fixed number of
-points, so no block can become hot. Sixteen neighbouring blocks share a parent
+Points are ordered along a curve through their principal axes and cut into blocks
+of a fixed number of points, so no block can become hot. Boxes are taken along
+the principal axes too: the rotation keeps distances, and correlated features
+give thin boxes that way. Sixteen neighbouring blocks share a parent
 box, sixteen parents a grandparent, and so on. Block pairs that may hold
 neighbours are found by walking down both box trees and dropping pairs that are
 too far apart. Each surviving pair meets in a task that holds two blocks of
@@ -16,15 +18,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.session import small_batches, store
 
 BLOCK_POINTS = 256
 FAN_BITS = 4          # 16 children per box
-CURVE_DIMS = 10       # dimensions that take part in the Z-order
-CURVE_BITS = 60
+CURVE_BITS = 60       # splits that make up a point's place on the curve
+AXIS_BITS = 7         # splits of one axis at most
+REACH_GROUPS = 4      # query points of a block, grouped by how far they must look
 PARTNERS_PER_TASK = 64
 WIDE_ROWS = 128       # rows per Arrow batch when a row carries a block
 SLACK = 1e-9
@@ -38,11 +42,15 @@ class Blocks:
 
     rows: DataFrame
     count: int
-    dims: int
+    axes: np.ndarray
+
+    @property
+    def dims(self) -> int:
+        return len(self.axes)
 
     @property
     def levels(self) -> int:
-        depth, n = 0, self.count
+        depth, n = 0, self.count * REACH_GROUPS
         while n > 1:
             depth, n = depth + 1, -(-n // (1 << FAN_BITS))
         return depth
@@ -55,35 +63,69 @@ def collapse(points: DataFrame, key: str, features: list[str], flags: list[str]
     )
 
 
-def _curve_position(points: DataFrame, features: list[str]) -> Column:
-    """Z-order key from quantile ranks, so dense regions get fine cells."""
-    dims = min(len(features), CURVE_DIMS)
-    bits = min(CURVE_BITS // dims, 6)
-    cells = 1 << bits
-    cuts = points.agg(*[
-        F.percentile_approx(f, [i / cells for i in range(1, cells)], 1000).alias(f) for f in features
+def _principal_axes(points: DataFrame, features: list[str]) -> np.ndarray:
+    """Orthonormal principal axes as columns; plain axes where there are none."""
+    dims = len(features)
+    vectors = VectorAssembler(inputCols=features, outputCol="_v").transform(points).select("_v")
+    if len(vectors.take(2)) < 2:
+        return np.eye(dims)
+    axes = PCA(k=dims, inputCol="_v", outputCol="_y").fit(vectors).pc.toArray()
+    orthonormal = np.allclose(axes.T @ axes, np.eye(dims), atol=1e-9)
+    return axes if orthonormal else np.eye(dims)
+
+
+def _rotated(features: list[str], axes: np.ndarray) -> Column:
+    @F.pandas_udf("array<double>")
+    def rotate(x: pd.Series) -> pd.Series:
+        return pd.Series(list(np.vstack(x.to_numpy()) @ axes)) if len(x) else x
+
+    return rotate(F.array(*features))
+
+
+def _curve_position(rotated: DataFrame, dims: int) -> Column:
+    """Place on the curve: the widest remaining extent is halved at each split.
+
+    Halves are quantiles, so dense regions get fine cells.
+    """
+    parts = 1 << AXIS_BITS
+    fractions = [i / parts for i in range(1, parts)]
+    cuts = rotated.agg(*[
+        F.percentile_approx(F.col("_y")[i], fractions, 1000).alias(f"c{i}") for i in range(dims)
     ]).first()
-    by_variety = sorted(features, key=lambda f: -len(set(cuts[f] or [])))[:dims]
-    key = F.lit(0).cast("long")
-    for i, f in enumerate(by_variety):
-        edges = sorted(set(cuts[f] or []))
-        rank = F.size(F.filter(F.lit(edges), lambda c: c < F.col(f))) if edges else F.lit(0)
-        for b in range(bits):
-            bit = F.shiftright(rank, b).bitwiseAND(F.lit(1)).cast("long")
-            key = key + F.shiftleft(bit, b * dims + i)
-    return key
-
-
-def _cut_blocks(features: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    edges = [np.array(cuts[f"c{i}"] or [0.0] * (parts - 1)) for i in range(dims)]
+    extent = [e[-1] - e[0] for e in edges]
+    splits, used = [], [0] * dims
+    for _ in range(min(CURVE_BITS, dims * AXIS_BITS)):
+        axis = max((i for i in range(dims) if used[i] < AXIS_BITS), key=lambda i: extent[i])
+        splits.append((axis, AXIS_BITS - 1 - used[axis]))
+        used[axis] += 1
+        extent[axis] /= 2.0
+
+    @F.pandas_udf("long")
+    def place(y: pd.Series) -> pd.Series:
+        at = np.vstack(y.to_numpy()) if len(y) else np.zeros((0, dims))
+        rank = [np.searchsorted(edges[i], at[:, i], side="left") for i in range(dims)]
+        key = np.zeros(len(at), np.int64)
+        for axis, bit in splits:
+            key = (key << 1) | ((rank[axis] >> bit) & 1)
+        return pd.Series(key)
+
+    return place(F.col("_y"))
+
+
+def _cut_blocks(
+    features: list[str], axes: np.ndarray
+) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def emit(part: int, seq: int, rows: pd.DataFrame) -> pd.DataFrame:
         x = rows[features].to_numpy(dtype=np.float64)
+        box = x @ axes
         return pd.DataFrame({
             "part": [part], "seq": [seq],
             "pid": [rows["pid"].to_numpy(np.int64)], "x": [x.ravel()],
             "w": [rows["w"].to_numpy(np.int64)],
             "is_query": [rows["is_query"].to_numpy(np.int32)],
             "is_base": [rows["is_base"].to_numpy(np.int32)],
-            "lo": [x.min(axis=0)], "hi": [x.max(axis=0)],
+            "lo": [box.min(axis=0)], "hi": [box.max(axis=0)],
         })
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,22 +148,25 @@ def pack(points: DataFrame, features: list[str]) -> Blocks:
     for flag in ("is_query", "is_base"):
         if flag not in points.columns:
             points = points.withColumn(flag, F.lit(1))
+    axes = _principal_axes(points, features)
+    rotated = points.withColumn("_y", _rotated(features, axes))
     placed = (
-        points.withColumn("_z", _curve_position(points, features))
+        rotated.withColumn("_z", _curve_position(rotated, len(features)))
+        .select("pid", "w", "is_query", "is_base", *features, "_z")
         .repartitionByRange("_z", "pid").sortWithinPartitions("_z", "pid").drop("_z")
     )
     schema = ("part int, seq int, pid array<bigint>, x array<double>, w array<bigint>, "
               "is_query array<int>, is_base array<int>, lo array<double>, hi array<double>")
-    cut = store(placed.mapInPandas(_cut_blocks(features), schema), "blocks")
-    # one row per partition: number the blocks along the curve
-    sizes = cut.groupBy("part").agg((F.max("seq") + 1).alias("n")).orderBy("part").collect()
-    starts, total = [], 0
-    for row in sizes:
-        starts.append(f"WHEN part = {row['part']} THEN {total}")
-        total += row["n"]
-    start = F.expr(f"CASE {' '.join(starts)} END") if starts else F.lit(0)
-    rows = cut.withColumn("block", (start + F.col("seq")).cast("long")).drop("part", "seq")
-    return Blocks(rows, total, len(features))
+    cut = store(placed.mapInPandas(_cut_blocks(features, axes), schema), "blocks")
+    # number the blocks along the curve; ``starts`` has one row per partition
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cut.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")
+    )
+    rows = cut.join(F.broadcast(starts), "part").withColumn(
+        "block", (F.col("start") + F.col("seq")).cast("long")
+    ).drop("part", "seq", "start")
+    return Blocks(rows, cut.count(), axes)
 
 
 def _gap2(a: tuple[str, str], b: tuple[str, str]) -> Column:
@@ -164,7 +209,7 @@ def near_pairs(
     above = _tree(queries, "a", "alo", "ahi", blocks.levels, blocks.dims, rules)
     below = _tree(bases, "b", "blo", "bhi", blocks.levels, blocks.dims, extra_b or {})
     limit = F.col("radius") * F.col("radius")
-    wanted = F.col("gap2") <= limit * (1 + SLACK) + SLACK * SLACK
+    wanted = F.col("gap2") <= limit * (1 + SLACK) + SLACK
     if keep is not None:
         wanted = wanted & keep
     pairs = None
@@ -285,14 +330,18 @@ class _Nearest:
         })
 
 
-def _own_reach(k: int, dims: int, include_self: bool):
-    """Upper bound of the k-th neighbour distance from the block's own points."""
+def _own_reach(k: int, axes: np.ndarray, include_self: bool):
+    """Query points of a block, grouped by an upper bound of their k-th distance.
+
+    The bound comes from the block's own points. A few far-off points then do not
+    widen the search of all the others.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for row in batch.itertuples():
-                pid, x, w = _points(row, dims)
+                pid, x, w = _points(row, len(axes))
                 asks = np.asarray(row.is_query, bool)
                 if not asks.any():
                     continue
@@ -300,10 +349,16 @@ def _own_reach(k: int, dims: int, include_self: bool):
                 base = np.asarray(row.is_base, bool)
                 if base.any():
                     best.offer(pid[base], x[base], w[base])
-                box = x[asks]
-                out.append((row.block, box.min(axis=0), box.max(axis=0),
-                            float(np.sqrt(best.reach2().max()))))
-            yield pd.DataFrame(out, columns=["a", "alo", "ahi", "radius"])
+                reach = np.sqrt(best.reach2())
+                for g, part in enumerate(np.array_split(np.argsort(reach), REACH_GROUPS)):
+                    if not len(part):
+                        continue
+                    box = best.x[part] @ axes
+                    item = {"pid": best.pid[part], "x": best.x[part].ravel(),
+                            "w": w[asks][part], "is_base": np.zeros(len(part), np.int32)}
+                    out.append((row.block * REACH_GROUPS + g, box.min(axis=0), box.max(axis=0),
+                                float(reach[part].max()), item))
+            yield pd.DataFrame(out, columns=["a", "alo", "ahi", "radius", "item"])
 
     return run
 
@@ -317,8 +372,7 @@ def _search(k: int, dims: int, include_self: bool):
                 if row.gap2 < 0:
                     if best is not None:
                         yield best.frame()
-                    asks = np.asarray(row.is_query, bool)
-                    best = _Nearest(pid[asks], x[asks], k, include_self)
+                    best = _Nearest(pid, x, k, include_self)
                     reach = np.inf
                 elif row.gap2 <= reach:
                     base = np.asarray(row.is_base, bool)
@@ -331,7 +385,7 @@ def _search(k: int, dims: int, include_self: bool):
 
 
 def _item() -> Column:
-    return F.struct("pid", "x", "w", "is_query", "is_base").alias("item")
+    return F.struct("pid", "x", "w", "is_base").alias("item")
 
 
 def knn(
@@ -347,17 +401,18 @@ def knn(
     with small_batches(points.sparkSession, WIDE_ROWS):
         reach = store(
             blocks.rows.select("block", "pid", "x", "w", "is_query", "is_base").mapInPandas(
-                _own_reach(k, blocks.dims, include_self),
-                "a long, alo array<double>, ahi array<double>, radius double",
+                _own_reach(k, blocks.axes, include_self),
+                "a long, alo array<double>, ahi array<double>, radius double, item struct<"
+                "pid: array<bigint>, x: array<double>, w: array<bigint>, is_base: array<int>>",
             ), "reach",
         )
     bases = blocks.rows.filter(F.array_max("is_base") == 1).select(
         F.col("block").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi")
     )
-    pairs = near_pairs(reach, bases, blocks, "near")
+    pairs = near_pairs(reach.drop("item"), bases, blocks, "near")
     found = meet(
         pairs,
-        blocks.rows.select(F.col("block").alias("a"), _item()),
+        reach.select("a", "item"),
         blocks.rows.select(F.col("block").alias("b"), _item()),
         _search(k, blocks.dims, include_self),
         "pid long, d array<double>, id array<bigint>, w array<bigint>", "nearest",
