@@ -12,6 +12,7 @@ bounded size and emits results per point, never per pair of points.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,7 +29,8 @@ BLOCK_POINTS = 256
 FAN_BITS = 4          # 16 children per box
 CURVE_BITS = 60       # splits that make up a point's place on the curve
 AXIS_BITS = 7         # splits of one axis at most
-REACH_GROUPS = 4      # query points of a block, grouped by how far they must look
+REACH_GROUPS = 2      # query points of a block: those that look near, those that look far
+NEAR_SHARE = 7 / 8
 PARTNERS_PER_TASK = 64
 WIDE_ROWS = 128       # rows per Arrow batch when a row carries a block
 SLACK = 1e-9
@@ -350,7 +352,8 @@ def _own_reach(k: int, axes: np.ndarray, include_self: bool):
                 if base.any():
                     best.offer(pid[base], x[base], w[base])
                 reach = np.sqrt(best.reach2())
-                for g, part in enumerate(np.array_split(np.argsort(reach), REACH_GROUPS)):
+                order, cut = np.argsort(reach), math.ceil(len(reach) * NEAR_SHARE)
+                for g, part in enumerate((order[:cut], order[cut:])):
                     if not len(part):
                         continue
                     box = best.x[part] @ axes

@@ -485,7 +485,7 @@ def ablation(spark, sf):
 # ---- calibration on given scores -----------------------------------------------------------
 
 def halves(spark, sf):
-    return S.stratified_half(fixture.scored(spark, sf))
+    return store(S.stratified_half(fixture.scored(spark, sf)), "halves")
 
 
 _HALVES = ("halves", f"""
