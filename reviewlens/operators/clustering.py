@@ -166,6 +166,29 @@ def kmeans_assign(
     )
 
 
+def nearest_centroid(
+    scaled: DataFrame, centroids: DataFrame, columns: list[str], cluster: str = "cluster_id"
+) -> DataFrame:
+    """Each row takes the nearest of a few given centroids; ties go to the smaller id.
+
+    ``centroids`` has one row per cluster, so it travels as one array.
+    """
+    listed = centroids.agg(F.collect_list(F.struct(
+        F.array(*[F.col(c).cast("double") for c in columns]).alias("x"), F.col(cluster).alias("id")
+    )))
+    point = F.array(*columns)
+
+    def distance(c: Column) -> Column:
+        steps = F.zip_with(c["x"], point, lambda p, q: (p - q) * (p - q))
+        total = F.aggregate(steps, F.lit(0.0), lambda t, v: t + v)
+        return F.struct(F.round(total, 12).alias("d2"), c["id"].alias("id"))
+
+    best = F.array_min(F.transform("_c", distance))
+    return scaled.withColumn("_c", listed.scalar()).select(
+        "user_id", best["id"].alias(cluster), F.sqrt(best["d2"]).alias("distance")
+    )
+
+
 def kmeans_summary(assigned: DataFrame, features: DataFrame) -> DataFrame:
     """Size, spam rate and five feature means per cluster."""
     return assigned.join(features, "user_id", "left").groupBy("cluster_id").agg(

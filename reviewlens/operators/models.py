@@ -46,7 +46,7 @@ def prepare(table: DataFrame, features: list[str], cluster_ids: list[int]) -> Da
     )
 
 
-def _pipeline(columns: list[str], scaled: bool, classifier) -> Pipeline:
+def _assembled(columns: list[str], scaled: bool, classifier) -> Pipeline:
     stages = [VectorAssembler(inputCols=columns, outputCol="_raw" if scaled else "features")]
     if scaled:
         stages.append(StandardScaler(inputCol="_raw", outputCol="features", withMean=True))
@@ -57,7 +57,7 @@ def train_decision_tree(train: DataFrame, columns: list[str]) -> PipelineModel:
     classifier = DecisionTreeClassifier(
         labelCol="y", weightCol="weight", maxDepth=10, seed=SEED, maxMemoryInMB=1024
     )
-    return _pipeline(columns, True, classifier).fit(spread(with_balanced_weight(train)))
+    return _assembled(columns, True, classifier).fit(spread(with_balanced_weight(train)))
 
 
 def train_random_forest(
@@ -67,7 +67,7 @@ def train_random_forest(
         labelCol="y", weightCol="weight", numTrees=trees, maxDepth=depth, seed=SEED,
         maxMemoryInMB=2048, cacheNodeIds=True,
     )
-    return _pipeline(columns, False, classifier).fit(spread(with_balanced_weight(train)))
+    return _assembled(columns, False, classifier).fit(spread(with_balanced_weight(train)))
 
 
 def train_mlp(train: DataFrame, columns: list[str]) -> PipelineModel:
@@ -75,7 +75,7 @@ def train_mlp(train: DataFrame, columns: list[str]) -> PipelineModel:
     classifier = MultilayerPerceptronClassifier(
         labelCol="y", layers=[len(columns), 128, 64, 2], seed=SEED, maxIter=100
     )
-    return _pipeline(columns, True, classifier).fit(spread(train))
+    return _assembled(columns, True, classifier).fit(spread(train))
 
 
 TRAINERS = {
@@ -136,14 +136,14 @@ def stack(rows: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
     """Balanced logistic regression fitted on half 0; scores of half 1."""
     fit, held = rows.filter(F.col("half") == 0), rows.filter(F.col("half") == 1)
     classifier = LogisticRegression(labelCol="y", weightCol="weight", maxIter=200)
-    model = _pipeline(columns, True, classifier).fit(spread(with_balanced_weight(fit)))
+    model = _assembled(columns, True, classifier).fit(spread(with_balanced_weight(fit)))
     return score(model, held, keep)
 
 
 def platt(rows: DataFrame, keep: list[str], score_column: str = "score") -> DataFrame:
     """Logistic regression on the logit of the score: fitted on half 0, applied to half 1."""
     ready = rows.withColumn("_logit", logit(F.col(score_column)))
-    model = _pipeline(["_logit"], False, LogisticRegression(labelCol="y", maxIter=200)).fit(
+    model = _assembled(["_logit"], False, LogisticRegression(labelCol="y", maxIter=200)).fit(
         ready.filter(F.col("half") == 0)
     )
     return score(model, ready.filter(F.col("half") == 1), keep, "platt")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reviewlens.functions.columns import bin_tenure
+from reviewlens.functions import ordered as O
 from reviewlens.operators import metrics as M
 from reviewlens.operators import reviewers as RW
 from reviewlens.operators import splits as S
@@ -118,6 +119,22 @@ def ece(spark, sf):
     return rounded(M.ece(fixture.scored(spark, sf)))
 
 
+@query("topk", with_ctes([CORE, SCORED], """
+    SELECT review_id, user_id, score, score2 FROM scored
+    ORDER BY score DESC, score2 DESC, review_id LIMIT 500"""))
+def topk(spark, sf):
+    given = fixture.scored(spark, sf).select("review_id", "user_id", "score", "score2")
+    return O.topk(given, 500, F.desc("score"), F.desc("score2"), F.asc("review_id"))
+
+
+@query("seeded_sample", with_ctes([CORE], """
+    SELECT review_id, user_id, rating FROM core
+    ORDER BY md5('42|' || review_id), review_id LIMIT 20000"""))
+def seeded_sample(spark, sf):
+    rows = fixture.reviews(spark, sf).select("review_id", "user_id", "rating")
+    return O.seeded_sample(rows, "review_id", 20_000, 42)
+
+
 _OUTCOME = """CASE WHEN y = 1 AND score >= 0.5 THEN 'TP' WHEN y = 0 AND score >= 0.5 THEN 'FP'
     WHEN y = 1 THEN 'FN' ELSE 'TN' END"""
 _TENURE = """CASE WHEN tenure_days IS NULL THEN 'unknown' WHEN tenure_days < 30 THEN 'new'

@@ -197,6 +197,21 @@ def given_clusters(people):
                          .when(days <= 365, 1).otherwise(2).alias("cluster_id"))
 
 
+@query("nearest_centroid", with_ctes([*_WITH_SCALED, _GIVEN, ("centroids",
+    "SELECT cluster_id, " + ", ".join(f"avg({c}) AS {c}" for c in FEATURES)
+    + " FROM given JOIN scaled USING (user_id) GROUP BY cluster_id")], f"""
+    SELECT user_id, n.id AS cluster_id, round(sqrt(n.d2), 5) AS distance FROM (
+      SELECT a.user_id, min(struct_pack(d2 := round({_distance('a', 'b')} * {_distance('a', 'b')}, 12),
+                                        id := b.cluster_id)) AS n
+      FROM scaled a, centroids b GROUP BY a.user_id)"""))
+def nearest_centroid(spark, sf):
+    rows = scaled(spark, sf)
+    centroids = given_clusters(profiles(spark, sf)).join(rows, "user_id").groupBy("cluster_id").agg(
+        *[F.avg(c).alias(c) for c in FEATURES]
+    )
+    return rounded(K.nearest_centroid(rows, centroids, FEATURES), 5)
+
+
 @query("cluster_summary", with_ctes([*WITH_PROFILES, _GIVEN], f"""
     SELECT cluster_id, count(*) AS size, {r('avg(spam_rate)', 'spam_rate_mean')}
     FROM given JOIN profiles USING (user_id) GROUP BY cluster_id"""))
