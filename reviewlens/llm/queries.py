@@ -7,14 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import mixing, quality_rules, sharding
+from reviewlens.llm import mixing, quality_rules, sharding, token_counts
 from reviewlens.llm.common import table
 
+TOKEN_LIMIT = 2_048
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the installed public tokenizer files lie."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -31,6 +40,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 @query
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of nearly equal bytes, equal texts together."""
