@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import mixing, quality_rules, sharding, token_counts
+from reviewlens.llm import language_id, mixing, quality_model, quality_rules, sharding, token_counts
 from reviewlens.llm.common import table
 
 TOKEN_LIMIT = 2_048
@@ -40,6 +40,22 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fold(column: str, folds: int):
+    """The fold of a row: crc32 of its id as text, modulo the number of folds."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(folds))
+
+
+@query
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt outside the held-out fold."""
+    scored = quality_model.classify_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), training=fold("doc_id", 4) != 2
+    )
+    return scored.select(
+        "doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted"
+    )
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
@@ -57,6 +73,16 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    predicted = language_id.predict_languages(docs, training=fold("doc_id", 5) != 0)
+    return predicted.select(
+        "doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
