@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import language_id, mixing, quality_model, quality_rules, sharding, token_counts
+from reviewlens.llm import language_id, mixing, quality_model, quality_rules, secret_scan, sharding, token_counts
 from reviewlens.llm.common import table
 
 TOKEN_LIMIT = 2_048
@@ -40,6 +40,22 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    scanned = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+    def number(kind: str):
+        own = secret_scan.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["kind"] == own)).cast("long").alias(f"n_{kind}")
+
+    return scanned.select(
+        "doc_id", number("assign"), number("access"), number("hex"),
+        F.sha2(secret_scan.spelled(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.spelled(F.col("spans")).alias("spans"),
+    )
+
+
 def fold(column: str, folds: int):
     """The fold of a row: crc32 of its id as text, modulo the number of folds."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(folds))
