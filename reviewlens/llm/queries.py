@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import language_id, mixing, quality_model, quality_rules, secret_scan, sharding, token_counts
+from reviewlens.llm import language_id, mixing, nearest, quality_model, quality_rules, secret_scan, sharding, token_counts
 from reviewlens.llm.common import table
 
 TOKEN_LIMIT = 2_048
@@ -29,6 +29,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of the rule cascade for every document."""
