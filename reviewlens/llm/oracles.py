@@ -117,3 +117,24 @@ targets AS (
 SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target, CAST(coalesce(words, 0) AS BIGINT) AS taken
 FROM queued LEFT JOIN taken USING (k)
 """
+
+ORACLES["op9_jaccard_join"] = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, row_number() OVER () AS k,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), grams AS (
+  SELECT DISTINCT k, array_to_string(words[i:i + 4], ' ') AS g
+  FROM (SELECT k, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM split WHERE len(words) > 0)
+), sizes AS (SELECT k, count(*) AS n FROM grams GROUP BY k),
+links AS (
+  SELECT a.k AS u, b.k AS v FROM grams a JOIN grams b ON a.g = b.g AND a.k <> b.k GROUP BY a.k, b.k
+  HAVING 5 * count(*) >= 4 * ((SELECT n FROM sizes WHERE k = a.k) + (SELECT n FROM sizes WHERE k = b.k) - count(*))
+), reach(k, other) AS (
+  SELECT k, k FROM split UNION SELECT reach.k, links.v FROM reach JOIN links ON links.u = reach.other
+), classes AS (
+  SELECT reach.k, min(s.doc_id) AS class_id, count(*) AS class_size
+  FROM reach JOIN split s ON s.k = reach.other GROUP BY reach.k
+), degrees AS (SELECT u AS k, count(*) AS n FROM links GROUP BY u)
+SELECT split.doc_id, class_id, CAST(class_size AS BIGINT) AS class_size, CAST(coalesce(n, 0) AS BIGINT) AS n_links
+FROM split JOIN classes USING (k) LEFT JOIN degrees USING (k)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import language_id, mixing, nearest, quality_model, quality_rules, secret_scan, sharding, token_counts
+from reviewlens.llm import jaccard_join, language_id, mixing, nearest, quality_model, quality_rules, secret_scan, sharding, token_counts
 from reviewlens.llm.common import table
 
 TOKEN_LIMIT = 2_048
@@ -106,6 +106,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document at similarity 0.8 over five-word shingles."""
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
