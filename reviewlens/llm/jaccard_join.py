@@ -94,7 +94,7 @@ class _Union:
                 self.root = self.root[self.root]
 
 
-_EDGE = "a binary, b binary"
+_EDGE = "a string, b string"
 
 
 def _compare_buckets(least: int, similarity: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -142,7 +142,7 @@ def connect(edges: DataFrame) -> DataFrame:
     edges = store(edges.filter("a <> b").distinct(), "edges")
     labels = store(edges.select(F.explode(F.array("a", "b")).alias("sid")).distinct().withColumn("label", F.col("sid")), "labels")
     while not edges.isEmpty():
-        both = edges.union(edges.select("b", "a"))
+        both = edges.select("a", "b").union(edges.select("b", "a"))
         least = both.groupBy(F.col("a").alias("old")).agg(F.min("b").alias("new")).filter(F.col("new") < F.col("old"))
         hop = least
         for _ in range(2):  # follow the names further
@@ -163,7 +163,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, roots: int, words
     """id, text_key and of its shingle set: sid (a digest; null without words),
     n, the sketch and the first ``roots`` minimum hashes in full."""
 
-    @F.pandas_udf("sid binary, n int, sketch binary, roots array<long>")
+    @F.pandas_udf("sid string, n int, sketch binary, roots array<long>")
     def described(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import hashlib
 
@@ -176,12 +176,12 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, roots: int, words
                     continue
                 lowest = shingles.minimum_hashes(own)
                 sketch = (shingles.mixed(lowest) & np.uint64(0xFFFF)).astype(np.uint16).tobytes()
-                out.append((hashlib.md5(own.tobytes()).digest(), len(own), sketch, lowest[:roots].view(np.int64)))
+                out.append((hashlib.md5(own.tobytes()).hexdigest(), len(own), sketch, lowest[:roots].view(np.int64)))
             yield pd.DataFrame(out, columns=["sid", "n", "sketch", "roots"])
 
     text = text_or_empty(text_col)
     return docs.select(
-        F.col(id_col).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("text_key"), described(text).alias("_s")
+        F.col(id_col).alias("id"), F.md5(text.cast("binary")).alias("text_key"), described(text).alias("_s")
     ).select("id", "text_key", "_s.*")
 
 
@@ -246,7 +246,7 @@ def _split(large: DataFrame, similarity: float) -> DataFrame:
     return picked.select("sid", F.xxhash64("bucket", "coordinate", token).alias("bucket"))
 
 
-_FOUND = "sid binary, root binary, links long"
+_FOUND = "sid string, root string, links long"
 
 
 def _exact(similarity: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -347,7 +347,7 @@ def _links(
     )
     text = text_or_empty(text_col)
     texts = docs.select(
-        F.unhex(F.md5(text.cast("binary"))).alias("text_key"),
+        F.md5(text.cast("binary")).alias("text_key"),
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id_key"), text.alias("text"),
     ).join(wanted, ["text_key", "id_key"]).dropDuplicates(["sid"])
 
