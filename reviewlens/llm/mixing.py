@@ -17,7 +17,7 @@ from reviewlens.session import store
 # Weights by position in the order of the source names, and repeats.
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-ROWS_PER_BLOCK = 4_096
+ROWS_PER_BLOCK = 512
 SEED = 17
 
 
