@@ -31,7 +31,7 @@ LEAF_ROWS = 48  # sampled vectors in a leaf, about
 TARGET_RECALL = 0.96
 CALIBRATION_QUERIES = 200
 FULL_SEARCH_ROWS = 2_000  # up to so many vectors every leaf is opened
-BLOCK_ROWS = 8_192  # vectors that meet a block of queries at once
+BLOCK_ROWS = 32_768  # vectors that meet a block of queries at once
 BLOCK_QUERIES = 2_048
 SEED = 11
 
@@ -251,7 +251,7 @@ def search(
 
     def rank(asking: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(asking) or not len(known):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": [], "near": []})
         base, ids, leaf = _stack(known["vector"]), known["vec_id"].to_numpy(), known["leaf"].to_numpy()
         found = []
         for query, vector, leaves in zip(asking["query_id"], asking["vector"], asking["leaves"], strict=True):
@@ -263,13 +263,13 @@ def search(
                 seen = seen[near >= least - 1e-9 * (1.0 + abs(least))]
             score = (base[seen] * q).sum(axis=1)
             best = np.lexsort((ids[seen], -score))[:k]
-            found.append(pd.DataFrame({"query_id": query, "vec_id": ids[seen][best], "score": score[best]}))
-        return pd.concat(found, ignore_index=True)
+            found.append((query, list(zip(ids[seen][best].tolist(), score[best].tolist(), strict=True))))
+        return pd.DataFrame(found, columns=["query_id", "near"])
 
     key = ["group", "shard", "block"]
     pairs = visits.groupBy(*key).cogroup(blocked.groupBy(*key)).applyInPandas(
-        rank, "query_id long, vec_id long, score double"
-    )
+        rank, "query_id long, near array<struct<vec_id:long,score:double>>"
+    ).select("query_id", F.inline("near"))
     once = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
