@@ -177,8 +177,8 @@ def training_rows(
     return x, np.array([r["_y"] for r in rows], float)
 
 
-def score_documents(docs: DataFrame, forest: Forest, text: Column) -> DataFrame:
-    """Add ``score``, the probability of label 1."""
+def score_documents(docs: DataFrame, forest: Forest, text: Column, score_col: str = "score") -> DataFrame:
+    """Add the probability of label 1."""
     model = docs.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
@@ -187,7 +187,7 @@ def score_documents(docs: DataFrame, forest: Forest, text: Column) -> DataFrame:
             rows = np.array([statistics(t) for t in texts]).reshape(len(texts), len(FEATURES))
             yield pd.Series(model.value.score(rows))
 
-    return docs.withColumn("score", scored(text_or_empty(text)))
+    return docs.withColumn(score_col, scored(text_or_empty(text)))
 
 
 def classify_quality(

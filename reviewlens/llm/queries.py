@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import jaccard_join, language_id, mixing, nearest, quality_model, quality_rules, secret_scan, sharding, token_counts
+from reviewlens.llm import (
+    jaccard_join, language_id, mixing, nearest, quality_model, quality_rules, secret_scan, sentencepiece_lattice,
+    sharding, token_counts,
+)
 from reviewlens.llm.common import table
 
 TOKEN_LIMIT = 2_048
@@ -68,6 +71,14 @@ def fold(column: str, folds: int):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(folds))
 
 
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the piece model, and whether they decode to it."""
+    return sentencepiece_lattice.encoding_summary(
+        table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")
+    )
+
+
 @query
 def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learnt outside the held-out fold."""
