@@ -32,7 +32,8 @@ TOKEN = r"[A-Za-z0-9+/_=-]+"
 MIN_RANDOM = 16  # characters a token needs to be tested
 MIN_LEARNT = 6  # characters a token needs to be learnt from
 SAMPLE_DOCS = 5_000  # documents the models are counted on, at most about
-SMOOTHING = 0.5
+SMOOTHING = 0.5  # added to the count of every single character
+BACKOFF = 10.0  # pairs seen less often than this lean on the single characters
 THRESHOLD = 12.0  # nats in favour of a random string
 MARK = "[SECRET]"
 
@@ -157,7 +158,8 @@ def train_random_model(
 
     def logs(n: list[int]) -> list[float]:
         sums = [sum(n[i * k:(i + 1) * k]) for i in range(k)]
-        return [math.log((n[i * k + j] + SMOOTHING) / (sums[i] + SMOOTHING * k)) for i in range(k) for j in range(k)]
+        single = [(sum(n[j::k]) + SMOOTHING) / (sum(n) + SMOOTHING * k) for j in range(k)]
+        return [math.log((n[i * k + j] + BACKOFF * single[j]) / (sums[i] + BACKOFF)) for i in range(k) for j in range(k)]
 
     pairs = zip(logs(counts["random"]), logs(counts["ordinary"]), strict=True)
     return RandomModel([a - b for a, b in pairs], threshold)
