@@ -32,9 +32,10 @@ SIMILARITY = 0.8
 TARGET_RECALL = 0.9999
 BUCKET_SETS = 1_024  # sets of a bucket that are compared in full
 MAX_DEPTH = 8  # then what is left of a bucket is compared block by block
-BLOCK_SHINGLES = 500_000  # shingles of a block in the exact comparison
+BLOCK_SHINGLES = 1_000_000  # shingles of a block in the exact comparison
 SKETCH_SLACK = 5.0  # standard deviations that a sketch may fall short
 BATCH_ROWS = 4_096
+EDGES_PER_TASK = 100_000  # where the number of edges is known
 
 
 def runs_for(similarity: float, recall: float) -> int:
@@ -139,23 +140,33 @@ def connect(edges: DataFrame) -> DataFrame:
     In every round each node takes the smallest name among itself and its
     neighbours; the edges are renamed, and those inside one class fall away.
     """
+    def kept(df: DataFrame, name: str, rows: int) -> DataFrame:
+        """Write a table that has no more than so many rows, in as few files."""
+        return store(df.coalesce(max(1, -(-rows // EDGES_PER_TASK))), name)
+
     edges = store(edges.filter("a <> b").distinct(), "edges")
-    labels = store(edges.select(F.explode(F.array("a", "b")).alias("sid")).distinct().withColumn("label", F.col("sid")), "labels")
-    while not edges.isEmpty():
+    n = edges.count()
+    labels = kept(
+        edges.select(F.explode(F.array("a", "b")).alias("sid")).distinct().withColumn("label", F.col("sid")), "labels", 2 * n
+    )
+    nodes = 2 * n
+    while n:
         both = edges.select("a", "b").union(edges.select("b", "a"))
         least = both.groupBy(F.col("a").alias("old")).agg(F.min("b").alias("new")).filter(F.col("new") < F.col("old"))
+        least = kept(least, "least", 2 * n)
         hop = least
         for _ in range(2):  # follow the names further
             further = least.select(F.col("old").alias("new"), F.col("new").alias("next"))
             hop = hop.join(further, "new", "left").select("old", F.coalesce("next", "new").alias("new"))
-        hop = store(hop, "renamed")
+        hop = kept(hop, "renamed", 2 * n)
 
         def renamed(df: DataFrame, column: str, hop: DataFrame = hop) -> DataFrame:
             names = hop.select(F.col("old").alias(column), F.col("new").alias("_new"))
             return df.join(names, column, "left").withColumn(column, F.coalesce("_new", column)).drop("_new")
 
-        edges = store(renamed(renamed(edges, "a"), "b").filter("a <> b").distinct(), "edges")
-        labels = store(renamed(labels, "label"), "labels")
+        edges = kept(renamed(renamed(edges, "a"), "b").filter("a <> b").distinct(), "edges", n)
+        labels = kept(renamed(labels, "label"), "labels", nodes)
+        n = edges.count()
     return labels
 
 
@@ -227,7 +238,10 @@ def _candidates(sets: DataFrame, similarity: float, runs: int, bucket_sets: int,
         if final:
             break
         depth += 1
-        met = _split(open_rows.filter(F.col("size") > bucket_sets), similarity)
+        large = open_rows.filter(F.col("size") > bucket_sets)
+        if large.isEmpty():
+            break
+        met = _split(large, similarity)
     if labels is None:
         return sets.select("sid", F.col("sid").alias("label")).limit(0)
     return labels
@@ -246,7 +260,7 @@ def _split(large: DataFrame, similarity: float) -> DataFrame:
     return picked.select("sid", F.xxhash64("bucket", "coordinate", token).alias("bucket"))
 
 
-_FOUND = "sid string, root string, links long"
+_FOUND = "sid string, root string, links long, whole boolean"
 
 
 def _exact(similarity: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -254,6 +268,7 @@ def _exact(similarity: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
     (in documents) and a name shared by all it is linked with."""
 
     def one_pair(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.iloc[np.argsort(rows["tokens"].map(len).to_numpy(), kind="stable")].reset_index(drop=True)
         tokens = [np.frombuffer(t, np.uint64) for t in rows["tokens"]]
         sizes = np.array([len(t) for t in tokens])
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -262,26 +277,28 @@ def _exact(similarity: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
         across = bool((rows["left"] != rows["right"]).iloc[0])
         links, classes, present = np.zeros(len(rows), np.int64), _Union(len(rows)), np.zeros(len(names), bool)
         for i in range(len(rows)):
-            mine = flat[starts[i]:starts[i] + sizes[i]]
-            others = np.flatnonzero(own != own[i]) if across else np.arange(i + 1, len(rows))
-            others = others[others > i]
-            small, large = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
-            others = others[small >= similarity * large]
-            if not len(others):
+            # rows come by size, so those large enough but not too large follow
+            last = int(np.searchsorted(sizes, sizes[i] / similarity + 1e-9, side="right"))
+            if last <= i + 1:
                 continue
+            mine = flat[starts[i]:starts[i] + sizes[i]]
             present[mine] = True
-            shared = np.array([present[flat[starts[j]:starts[j] + sizes[j]]].sum() for j in others])
+            at = starts[i + 1:last]
+            shared = np.add.reduceat(present[flat[at[0]:starts[last - 1] + sizes[last - 1]]], at - at[0], dtype=np.int64)
             present[mine] = False
-            hit = others[shared >= similarity * (sizes[i] + sizes[others] - shared) - 1e-9]
+            others = np.arange(i + 1, last)
+            close = shared >= similarity * (sizes[i] + sizes[others] - shared) - 1e-9
+            hit = others[close & (own[others] != own[i])] if across else others[close]
             if len(hit):
                 links[i] += weight[hit].sum()
                 links[hit] += weight[i]
                 classes.join(np.full(len(hit), i), hit)
         ids = rows["sid"].to_numpy()
-        return pd.DataFrame({"sid": ids, "root": ids[classes.root], "links": links})
+        single = rows["blocks"].to_numpy() == 1
+        return pd.DataFrame({"sid": ids, "root": ids[classes.root], "links": links, "whole": single})
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        parts = [one_pair(part.reset_index(drop=True)) for _, part in rows.groupby("pair", sort=False)]
+        parts = [one_pair(part) for _, part in rows.groupby("pair", sort=False)]
         return pd.concat(parts, ignore_index=True)
 
     return compare
@@ -316,7 +333,11 @@ def jaccard_classes(
     labels = _candidates(sets, similarity, runs, bucket_sets, max_depth)
     links = store(_links(docs, id_col, text_col, sets, labels, similarity, words, block_shingles), "links")
     degrees = links.groupBy("sid").agg(F.sum("links").alias("links"))
-    classes = connect(links.select(F.col("sid").alias("a"), F.col("root").alias("b")))
+    # a set of candidates compared at one place has its classes; others go through their roots
+    classes = links.filter("whole").select("sid", F.col("root").alias("label"))
+    cut = links.filter("not whole")
+    if not cut.isEmpty():
+        classes = classes.unionByName(connect(cut.select(F.col("sid").alias("a"), F.col("root").alias("b"))))
     named = (
         sets.select("sid", "weight", "least_id").join(degrees, "sid", "left").join(classes, "sid", "left")
         .withColumn("label", F.coalesce("label", "sid"))
@@ -361,7 +382,7 @@ def _links(
     paired = sized.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.xxhash64("label", F.least("own", "_other"), F.greatest("own", "_other")).alias("pair"),
         F.least("own", "_other").alias("left"), F.greatest("own", "_other").alias("right"),
-        "sid", "weight", "own", "tokens",
+        "sid", "weight", "own", "blocks", "tokens",
     )
     return _streamed(paired, ["pair"], _FOUND, _exact(similarity))
 
