@@ -129,7 +129,7 @@ def test_viterbi_fold(spark):
         return score[-1]
 
     df = spark.createDataFrame([(w,) for w in words], "word string")
-    folded = sentencepiece_lattice.lattice(df, table, 3).withColumn(
+    folded = sentencepiece_lattice.lattice(df, table, 3, sentencepiece_lattice.score_edge()).withColumn(
         "borders", sentencepiece_lattice.fold_viterbi(F.col("edges"), F.col("word"), -50.0)
     )
     for r in folded.select("word", sentencepiece_lattice._symbols(F.col("borders"), F.col("word")).alias("s")).collect():
