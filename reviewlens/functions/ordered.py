@@ -1,23 +1,30 @@
 """Global ordering work without a single-task window.
 
-Each helper first aggregates equal values, splits the distinct values into
-buckets at approximate quantiles, and adds up whole buckets before it opens a
-window inside each bucket. The answers are exact whatever the bucket borders.
+Each helper first aggregates equal values, deals the distinct values out by
+ranges, and adds up whole ranges before it opens a window inside each. The
+number of ranges follows the session's shuffle partitions, so none grows with
+the data alone, and the answers are exact whatever the borders.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.session import store
 
-BUCKETS = 200
-DEAL_HEX_DIGITS = 3
+ROWS_PER_DEAL = 4_096  # rows that share the leading digits of a hash, about
 
 
-def _border_fractions() -> list[float]:
-    return [i / BUCKETS for i in range(1, BUCKETS)]
+def _beside(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """Inner join on columns in which a null equals a null."""
+    named = right.withColumnsRenamed({c: f"_r_{c}" for c in columns})
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return left.join(named, same).drop(*[f"_r_{c}" for c in columns])
 
 
 def summed_counts(
@@ -26,45 +33,33 @@ def summed_counts(
     """Add ``cum_<c>``: the sum of ``c`` over rows up to and including this one.
 
     ``counts`` holds one row per (by..., order) value and should be a stored
-    table, as it is read three times. Rows are ordered by ``order`` within each
-    ``by`` combination; there should be few of those.
+    table, as it is read twice. Rows are ordered by ``order`` within each ``by``
+    combination; a null in ``by`` is a combination of its own.
     """
     by = list(by)
-    borders = counts.groupBy(*by).agg(
-        F.percentile_approx(order, _border_fractions(), 10_000).alias("_borders")
+    direction = F.col(order).desc() if descending else F.col(order).asc()
+    dealt = store(
+        counts.repartitionByRange(*[F.col(c).asc() for c in by], direction)
+        .withColumn("_range", F.spark_partition_id()),
+        "ranges",
     )
-    if by:
-        keyed = counts.join(F.broadcast(borders), by)
-    else:
-        keyed = counts.withColumn("_borders", borders.scalar())
-    value = F.col(order)
-    bucket = F.size(F.filter("_borders", lambda b: b < value))
-    keyed = keyed.withColumn("_bucket", F.coalesce(bucket, F.lit(0))).drop("_borders")
-
-    def direction(c: str) -> Column:
-        return F.col(c).desc() if descending else F.col(c).asc()
-
-    over_buckets = (
-        Window.partitionBy(*by, F.lit(0)).orderBy(direction("_bucket"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (
+        Window.partitionBy(*by, F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = (
-        keyed.groupBy(*by, "_bucket")
-        .agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+        dealt.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
         .select(
-            *by, "_bucket",
-            *[F.coalesce(F.sum(f"_t_{c}").over(over_buckets), F.lit(0)).alias(f"_b_{c}") for c in sums],
+            *by, "_range",
+            *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_b_{c}") for c in sums],
         )
     )
     inside = (
-        Window.partitionBy(*by, "_bucket").orderBy(direction(order))
-        .rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*by, "_range").orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
-        keyed.withColumns({f"_w_{c}": F.sum(c).over(inside) for c in sums})
-        .join(F.broadcast(before), [*by, "_bucket"])
-        .withColumns({f"cum_{c}": F.col(f"_w_{c}") + F.col(f"_b_{c}") for c in sums})
-        .drop("_bucket", *[f"_w_{c}" for c in sums], *[f"_b_{c}" for c in sums])
+        _beside(dealt, before, [*by, "_range"])
+        .withColumns({f"cum_{c}": F.sum(c).over(inside) + F.col(f"_b_{c}") for c in sums})
+        .drop("_range", *[f"_b_{c}" for c in sums])
     )
 
 
@@ -89,7 +84,7 @@ def quantiles(
     summed = summed_counts(counts, value, ["n"], by)
     totals = counts.groupBy(*by).agg(F.sum("n").alias("_total"))
     if by:
-        placed = summed.join(F.broadcast(totals), by)
+        placed = _beside(summed, totals, by)
     else:
         placed = summed.withColumn("_total", totals.scalar())
     after, first = F.col("cum_n"), F.col("cum_n") - F.col("n")
@@ -140,7 +135,7 @@ def describe_by(df: DataFrame, value: str, by: list[str]) -> DataFrame:
         F.max(value).cast("double").alias("max"),
     )
     parts = quantiles(df, value, [0.25, 0.5, 0.75], by)
-    return moments.join(F.broadcast(parts.drop("n")), by).select(
+    return _beside(moments, parts.drop("n"), list(by)).select(
         *by, "n_rows", "mean", "std", "min",
         F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max",
     )
@@ -150,10 +145,12 @@ def deal(df: DataFrame, key: str, strata: list[str], hands: int, seed: int, out:
     """Deal rows round-robin into ``hands`` per stratum, in the order of a hash.
 
     Same answer as ``row_number() over (partition by strata order by hash)``,
-    but a stratum of any size is split by the leading digits of the hash.
+    but a stratum of any size is split by the leading digits of the hash, their
+    number following the row count. A null stratum is one of its own.
     """
+    digits = max(1, math.ceil(math.log(max(1, df.count() / ROWS_PER_DEAL), 16)))
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
-    hashed = df.withColumn("_h", order).withColumn("_d", F.substring("_h", 1, DEAL_HEX_DIGITS))
+    hashed = df.withColumn("_h", order).withColumn("_d", F.substring("_h", 1, digits))
     over_digits = (
         Window.partitionBy(*strata).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -163,8 +160,7 @@ def deal(df: DataFrame, key: str, strata: list[str], hands: int, seed: int, out:
     )
     inside = Window.partitionBy(*strata, "_d").orderBy("_h", key)
     return (
-        hashed.withColumn("_r", F.row_number().over(inside))
-        .join(offsets, [*strata, "_d"])
+        _beside(hashed.withColumn("_r", F.row_number().over(inside)), offsets, [*strata, "_d"])
         .withColumn(out, ((F.col("_r") + F.col("_before") - 1) % hands).cast("int"))
         .drop("_h", "_d", "_r", "_before")
     )

@@ -12,7 +12,7 @@ MIN_SUPPORT = 0.05
 MIN_LIFT = 1.2
 SPAM_RATE_CUTOFF = 0.20
 TOP_RULES = 50
-SUBSET_ITEMS = 8  # baskets up to this long are mined by listing their subsets
+MAX_LISTED_ITEMS = 20  # longer baskets have too many subsets to list; use mine_itemsets
 
 
 def basket_items() -> Column:
@@ -53,6 +53,8 @@ def basket_item_stats(baskets: DataFrame) -> DataFrame:
 
 def _subsets(items: Column, size: Column) -> Column:
     """Every non-empty subset: bit b of the mask decides about item b."""
+    too_long = F.raise_error(F.lit(f"a basket has more than {MAX_LISTED_ITEMS} items: use mine_itemsets"))
+    size = F.when(size <= MAX_LISTED_ITEMS, size).otherwise(too_long.cast("int"))
     masks = F.sequence(F.lit(1), (F.pow(F.lit(2), size) - 1).cast("int"))
     return F.transform(
         masks,

@@ -113,7 +113,7 @@ def kmeans_sweep(
     scaled: DataFrame, columns: list[str], ks: range = K_RANGE, restarts: int = 10
 ) -> DataFrame:
     """Inertia and silhouette for each k; all reviewers count, none are sampled."""
-    vectors = spread(as_vectors(scaled, columns).select("features"))
+    vectors = spread(as_vectors(scaled, columns).select("user_id", "features")).select("features")
     vectors.persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
     try:

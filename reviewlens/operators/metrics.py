@@ -137,7 +137,7 @@ def f1_columns() -> list[Column]:
 def f1_at(df: DataFrame, threshold: float | Column, score: str = "score", y: str = "y") -> DataFrame:
     """Confusion counts and F1 of the rule ``score >= threshold``."""
     limit = F.lit(threshold) if isinstance(threshold, float) else threshold
-    return df.agg(*confusion(F.col(score) >= limit, y)).select("*", *f1_columns())
+    return with_score(df, score, y).agg(*confusion(F.col(score) >= limit, y)).select("*", *f1_columns())
 
 
 def _grid() -> list[float]:
@@ -182,13 +182,24 @@ def brier(df: DataFrame, score: str = "score", y: str = "y") -> DataFrame:
     return df.agg(F.avg(F.pow(F.col(score) - F.col(y), 2)).alias("brier"))
 
 
+def with_score(df: DataFrame, score: str = "score", y: str = "y") -> DataFrame:
+    """Rows that have a score and a label; the others enter no metric."""
+    return df.filter(F.col(score).isNotNull() & F.col(y).isNotNull())
+
+
+def without_score(df: DataFrame, score: str = "score", y: str = "y") -> DataFrame:
+    """How many rows the metrics leave out (one row)."""
+    left_out = F.col(score).isNull() | F.col(y).isNull()
+    return df.agg(F.count(F.when(left_out, 1)).alias("n_without_score"))
+
+
 def reliability_curve(
     df: DataFrame, bins: int = ECE_BINS, score: str = "score", y: str = "y", by: list[str] = ()
 ) -> DataFrame:
     """Mean score and share of positives per equal-width bin of the score."""
     edge = F.floor(F.col(score) * bins).cast("int")
     place = F.greatest(F.lit(0), F.least(F.lit(bins - 1), edge))
-    return df.groupBy(*by, place.alias("bin")).agg(
+    return with_score(df, score, y).groupBy(*by, place.alias("bin")).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(score).alias("mean_score"), F.avg(F.col(y).cast("double")).alias("positive_rate"),
     )
@@ -205,22 +216,24 @@ def ece(
 
 
 def outcome(predicted: Column, y: Column) -> Column:
+    """TP, FP, FN or TN; null without a prediction or a label."""
     return (
         F.when((y == 1) & predicted, "TP").when((y == 0) & predicted, "FP")
-        .when((y == 1) & ~predicted, "FN").otherwise("TN")
+        .when((y == 1) & ~predicted, "FN").when((y == 0) & ~predicted, "TN")
     )
 
 
 def error_buckets(scored: DataFrame, buckets: list[str]) -> DataFrame:
     """Rows per bucket and outcome; ``scored`` carries an ``outcome`` column."""
-    return scored.groupBy(*buckets, "outcome").agg(F.count(F.lit(1)).alias("count"))
+    known = scored.filter(F.col("outcome").isNotNull())
+    return known.groupBy(*buckets, "outcome").agg(F.count(F.lit(1)).alias("count"))
 
 
 def error_rates(scored: DataFrame, row: str, column: str, values: list) -> DataFrame:
     """Share of wrong rows as a table: ``row`` down, ``column`` across."""
     wrong = F.col("outcome").isin("FP", "FN").cast("int")
     return (
-        scored.withColumn("_wrong", wrong).groupBy(row).pivot(column, values)
+        scored.filter(F.col("outcome").isNotNull()).withColumn("_wrong", wrong).groupBy(row).pivot(column, values)
         .agg(F.avg("_wrong")).na.fill(0.0)
     )
 

@@ -26,9 +26,12 @@ def spam_flag(spark, sf):
     return fixture.raw_reviews(spark, sf).select("review_id", C.spam_flag().alias("is_spam"))
 
 
-@query("usable_text_filter", """
-    SELECT doc_id, trim(text, ' ') AS text, toxic FROM documents JOIN labels USING (doc_id)
-    WHERE length(trim(text, ' ')) > 10 AND lower(trim(text, ' ')) <> 'nan' AND toxic IS NOT NULL""")
+_TRIMMED = f"trim(text, '{C.WHITE_SPACE}')"
+
+
+@query("usable_text_filter", f"""
+    SELECT doc_id, {_TRIMMED} AS text, toxic FROM documents JOIN labels USING (doc_id)
+    WHERE length({_TRIMMED}) > 10 AND lower({_TRIMMED}) <> 'nan' AND toxic IS NOT NULL""")
 def usable_text_filter(spark, sf):
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
     return C.usable_text_filter(docs.select("doc_id", "text", "toxic"), "text", "toxic")

@@ -8,7 +8,9 @@ from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+_HASHED = {"tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "string", "boolean", "date", "timestamp"}
 _handed_over: dict[tuple[str, str, str], str] = {}
 
 
@@ -32,12 +34,6 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so a lost executor never forces a full recompute."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/reviewlens/{name}-{uuid.uuid4().hex}"
@@ -64,9 +60,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core in iterative fits when a small table sits in few files."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Lay a training table out for an iterative fit, the same way however its
+    input was cut: dealt by a hash of its plain columns into the session's
+    shuffle partitions, in the order of that hash, and written once."""
+    plain = [c for c, kind in df.dtypes if kind.split("(")[0] in _HASHED]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.xxhash64(*plain)
+    dealt = df.repartition(parts, place).sortWithinPartitions(place, *plain)
+    return store(dealt, "training")
 
 
 @contextmanager

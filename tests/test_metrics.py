@@ -149,3 +149,33 @@ def test_target_encoding_uses_the_fit_half(spark):
     rows = spark.createDataFrame([(0, 0), (1, 1), (7, 1)], "c int, y int")
     got = {r.c: r.rate for r in V.target_encode(fit, rows, "c", "rate").collect()}
     assert got == {0: 0.5, 1: 0.0, 7: pytest.approx(1 / 3)}
+
+
+def test_rows_without_a_score_enter_no_metric(spark):
+    df = spark.createDataFrame(
+        [(0.9, 1), (0.2, 0), (None, 1), (None, 0), (0.4, None)], "score double, y int"
+    )
+    assert sum(r["n"] for r in M.reliability_curve(df).collect()) == 2
+    assert value(M.ece(df)) == pytest.approx((0.1 + 0.2) / 2)
+    cells = M.f1_at(df, 0.5).first()
+    assert (cells["tp"], cells["fp"], cells["fn"], cells["tn"]) == (1, 0, 0, 1)
+    judged = df.withColumn("outcome", M.outcome(F.col("score") >= 0.5, F.col("y"))).withColumn("g", F.lit("a"))
+    assert sorted(r["outcome"] for r in M.error_buckets(judged, ["g"]).collect()) == ["TN", "TP"]
+    assert value(M.without_score(df)) == 3
+
+
+def test_null_groups_and_strata_stay(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else "a", float(i)) for i in range(20)], "id int, g string, v double")
+    medians = {r["g"]: r["q"][0] for r in O.quantiles(df, "v", [0.5], ["g"]).collect()}
+    assert medians == {"a": 9.0, None: 10.0}
+    dealt = O.deal(df, "id", ["g"], 2, 1, "hand").collect()
+    assert len(dealt) == 20 and {(r["g"], r["hand"]) for r in dealt} == {("a", 0), ("a", 1), (None, 0), (None, 1)}
+
+
+@pytest.mark.parametrize("n", [100, 257, 300, 600, 5_000])
+def test_every_tree_gets_its_rows(spark, n):
+    from reviewlens.operators import anomaly
+
+    drawn = anomaly._samples(spark.range(n), "id", n, 300, 256, 42)
+    sizes = [r["count"] for r in drawn.groupBy("tree").count().collect()]
+    assert len(sizes) == 300 and min(sizes) >= min(256, n)

@@ -122,4 +122,10 @@ def test_small_column_helpers(spark):
     assert C.align_columns(df, ["rating", "other"]).first().asDict() == {"rating": 2.0, "other": 0.0}
     hot = C.one_hot(df.withColumn("c", F.lit(1)), "c", [0, 1]).first()
     assert (hot.c_0, hot.c_1) == (0.0, 1.0)
-    assert C.feature_names(df.withColumn("spam_rate", F.lit(0.1))) == ["total_reviews", "rating"]
+    assert C.feature_names(df.withColumn("spam_rate", F.lit(0.1)), ["rating", "total_reviews"]) == ["total_reviews", "rating"]
+
+
+def test_text_of_white_space_only_is_not_usable(spark):
+    rows = [(1, "\n" * 12, 1), (2, "\t \n" * 6, 1), (3, "\n a text that is long enough \t", 1), (4, " NaN ", 0), (5, None, 1)]
+    df = spark.createDataFrame(rows, "id int, text string, y int")
+    assert [tuple(r) for r in C.usable_text_filter(df, "text", "y").collect()] == [(3, "a text that is long enough", 1)]
