@@ -95,7 +95,7 @@ class _Union:
                 self.root = self.root[self.root]
 
 
-_EDGE = "a string, b string"
+_EDGE = "a long, b long"
 
 
 def _compare_buckets(least: int, similarity: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -171,10 +171,9 @@ def connect(edges: DataFrame) -> DataFrame:
 
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, roots: int, words: int) -> DataFrame:
-    """id, text_key and of its shingle set: sid (a digest; null without words),
-    n, the sketch and the first ``roots`` minimum hashes in full."""
+    """id, text_key and of its shingle set: digest (null without words), n, the sketch and the first ``roots`` minimum hashes in full."""
 
-    @F.pandas_udf("sid string, n int, sketch binary, roots array<long>")
+    @F.pandas_udf("digest string, n int, sketch binary, roots array<long>")
     def described(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import hashlib
 
@@ -188,7 +187,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, roots: int, words
                 lowest = shingles.minimum_hashes(own)
                 sketch = (shingles.mixed(lowest) & np.uint64(0xFFFF)).astype(np.uint16).tobytes()
                 out.append((hashlib.md5(own.tobytes()).hexdigest(), len(own), sketch, lowest[:roots].view(np.int64)))
-            yield pd.DataFrame(out, columns=["sid", "n", "sketch", "roots"])
+            yield pd.DataFrame(out, columns=["digest", "n", "sketch", "roots"])
 
     text = text_or_empty(text_col)
     return docs.select(
@@ -260,7 +259,7 @@ def _split(large: DataFrame, similarity: float) -> DataFrame:
     return picked.select("sid", F.xxhash64("bucket", "coordinate", token).alias("bucket"))
 
 
-_FOUND = "sid string, root string, links long, whole boolean"
+_FOUND = "sid long, root long, links long, whole boolean"
 
 
 def _exact(similarity: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -321,13 +320,13 @@ def jaccard_classes(
     """
     runs = runs_for(similarity, recall)
     described = store(document_sets(docs, id_col, text_col, runs, words), "sets")
-    with_words = described.filter(F.col("sid").isNotNull())
+    with_words = described.filter(F.col("digest").isNotNull())
     key = F.struct("text_key", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id_key"))
     sets = store(
-        with_words.groupBy("sid").agg(
+        with_words.groupBy("digest").agg(
             F.count(F.lit(1)).alias("weight"), F.min("id").alias("least_id"), F.min(key).alias("from"),
             F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("roots").alias("roots"),
-        ),
+        ).withColumn("sid", F.monotonically_increasing_id()),  # a short name, fixed by being written
         "distinct-sets",
     )
     labels = _candidates(sets, similarity, runs, bucket_sets, max_depth)
@@ -339,15 +338,15 @@ def jaccard_classes(
     if not cut.isEmpty():
         classes = classes.unionByName(connect(cut.select(F.col("sid").alias("a"), F.col("root").alias("b"))))
     named = (
-        sets.select("sid", "weight", "least_id").join(degrees, "sid", "left").join(classes, "sid", "left")
+        sets.select("sid", "digest", "weight", "least_id").join(degrees, "sid", "left").join(classes, "sid", "left")
         .withColumn("label", F.coalesce("label", "sid"))
     )
     whole = named.groupBy("label").agg(F.min("least_id").alias("class_id"), F.sum("weight").alias("class_size"))
     result = named.join(whole, "label").select(
-        "sid", "class_id", "class_size", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")
+        "digest", "class_id", "class_size", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
-    joined = described.select("id", "sid").join(result, "sid", "left")
-    alone = F.col("sid").isNull()
+    joined = described.select("id", "digest").join(result, "digest", "left")
+    alone = F.col("digest").isNull()
     return joined.select(
         "id",
         F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
