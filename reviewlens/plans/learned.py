@@ -25,7 +25,7 @@ from reviewlens.operators import text_model as TX
 from reviewlens.operators import validation as V
 from reviewlens.plans.evaluation import PARTS, row_hash
 from reviewlens.plans.registry import query, r, rounded, with_ctes
-from reviewlens.plans.rules import handed_rules, profiles
+from reviewlens.plans.rules import WITH_RULE_MEASURES, handed_rule_features, handed_rules, profiles
 from reviewlens.plans.sql import CORE, L1, SCORED, WITH_PROFILES, WITH_SELLERS
 from reviewlens.session import hand_over, store
 from reviewlens.sources import fixture
@@ -171,6 +171,19 @@ def dbscan(spark, sf):
     return dbscan_labels(spark, sf)
 
 
+_DBSCAN = ("dbscan_labels", """
+  SELECT user_id, coalesce(label, -1) AS dbscan_cluster FROM scaled LEFT JOIN (
+    SELECT e.u AS user_id, min(cc.label) AS label FROM edges e JOIN cc ON cc.id = e.v
+    WHERE e.u = e.v OR e.u NOT IN (SELECT id FROM core_ids) GROUP BY e.u) USING (user_id)""")
+
+
+def with_dbscan(ctes, more, body: str) -> str:
+    """SQL whose ``more`` expressions may read ``dbscan_labels``; ``ctes`` bring the profiles."""
+    first = with_ctes([*ctes, _LOGGED, _SCALED, *_CLUSTERED], "").rstrip()
+    rest = with_ctes([_DBSCAN, *more], body).replace("WITH ", "", 1)
+    return first.replace("WITH ", "WITH RECURSIVE ", 1) + "," + _REACH + ",\n" + rest
+
+
 @query("dbscan_eps_sweep")
 def dbscan_eps_sweep(spark, sf):
     return hand_over(
@@ -272,6 +285,41 @@ def feature_table(spark, sf):
     return rounded(T.feature_table(reviews, people, rules, text_scores=known).drop(*T.RULE_FEATURES), 5)
 
 
+_SCORES = ("scores", """
+  SELECT review_id, CAST(toxic AS DOUBLE) AS text_spam_prob FROM core JOIN labels USING (doc_id)""")
+_WHOLE_NUMBERS = {"rating", "review_length", "word_count", "exclamation_count", "question_count",
+                  "day_of_week", "month", "review_count", "unique_sellers", "tenure_days",
+                  "burst_score"}
+
+
+@query("feature_table_whole", with_dbscan([*WITH_RULE_MEASURES, _GIVEN], [_SCORES], f"""
+    SELECT review_id, user_id, prod_id, is_spam,
+           {', '.join(c if c in _WHOLE_NUMBERS else r(c, c, 5) for c in T.REVIEW_FEATURES + T.REVIEWER_FEATURES)},
+           coalesce(l2_rule_match_count, 0) AS l2_rule_match_count,
+           {', '.join(r(f'coalesce({c}, 0.0)', c, 5) for c in T.RULE_FEATURES[1:])},
+           cluster_id AS kmeans_cluster_id, CAST(dbscan_cluster = -1 AS INTEGER) AS dbscan_is_noise,
+           coalesce(text_spam_prob, (SELECT quantile_cont(text_spam_prob, 0.5) FROM scores)) AS text_spam_prob
+    FROM reviews JOIN profiles USING (user_id) JOIN given USING (user_id)
+    JOIN dbscan_labels USING (user_id) LEFT JOIN rule_measures USING (user_id)
+    LEFT JOIN scores USING (review_id)"""))
+def feature_table_whole(spark, sf):
+    """All columns: rule measures, clusters SQL can state, DBSCAN noise, given text scores."""
+    reviews, people = fixture.reviews(spark, sf), profiles(spark, sf)
+    known = reviews.join(table(spark, sf, "labels"), "doc_id").select(
+        "review_id", F.col("toxic").cast("double").alias(T.TEXT_SCORE)
+    )
+    return rounded(T.feature_table(
+        reviews, people, handed_rule_features(spark, sf), given_clusters(people),
+        dbscan_labels(spark, sf), known,
+    ), 5)
+
+
+@query("feature_table_learned")
+def feature_table_learned(spark, sf):
+    """All columns with K-Means clusters and model text scores, as the models read them."""
+    return full_table(spark, sf)
+
+
 def text_model(spark, sf):
     docs = fixture.labelled_documents(spark, sf)
     return TX.fit_text_model(docs)

@@ -104,6 +104,26 @@ def rule_weight(spark, sf):
     return rounded(_flat(B.rule_weight(B.spam_rules(rules(baskets(spark, sf)), CUTOFF))))
 
 
+# the four measures unrounded, for queries that join them
+_MEASURES = ("rule_measures", """
+  SELECT user_id, CAST(count(CASE WHEN hit THEN 1 END) AS INTEGER) AS l2_rule_match_count,
+         coalesce(max(CASE WHEN hit THEN rule_weight END), 0.0) AS l2_rule_max_weight,
+         avg(share * rule_weight) AS l2_rule_partial_mean,
+         max(share * rule_weight) AS l2_rule_partial_max
+  FROM (SELECT user_id, rule_weight,
+               len(list_intersect(antecedents, [i1, i2, i3, i4])) = len(antecedents) AS hit,
+               len(list_intersect(antecedents, [i1, i2, i3, i4]))
+                 / CAST(len(antecedents) AS DOUBLE) AS share
+        FROM baskets, top_rules)
+  GROUP BY user_id""")
+WITH_RULE_MEASURES = [*with_rules(1.2), _TOP, _MEASURES]
+
+
+def handed_rule_features(spark, sf):
+    """Rule measures of every reviewer, by the rules the mining stage hands on."""
+    return B.rule_features(B.encode_baskets(profiles(spark, sf)), B.rule_weight(handed_rules(spark, sf)))
+
+
 @query("rule_features", with_ctes([*with_rules(1.2), _TOP], """
     SELECT user_id,
            CAST(count(CASE WHEN hit THEN 1 END) AS INTEGER) AS l2_rule_match_count,
