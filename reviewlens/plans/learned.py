@@ -25,7 +25,9 @@ from reviewlens.operators import text_model as TX
 from reviewlens.operators import validation as V
 from reviewlens.plans.evaluation import PARTS, row_hash
 from reviewlens.plans.registry import query, r, rounded, with_ctes
-from reviewlens.plans.rules import WITH_RULE_MEASURES, handed_rule_features, handed_rules, profiles
+from reviewlens.plans.rules import (
+    CUTOFF, WITH_RULE_MEASURES, handed_rule_features, handed_rules, profiles,
+)
 from reviewlens.plans.sql import CORE, L1, SCORED, WITH_PROFILES, WITH_SELLERS
 from reviewlens.session import hand_over, store
 from reviewlens.sources import fixture
@@ -747,6 +749,79 @@ def agreement_extremes(spark, sf):
     return rounded(V.agreement_extremes(V.topk_jaccard(rankings(spark, sf), SIGNALS)))
 
 
+# six signals: the rules and DBSCAN as they are, clusters and scores that SQL can state
+ALL_SIGNALS = ["behavioral", "rules", "kmeans", "dbscan", "supervised", "anomaly"]
+_ALL_RANKINGS = ("rankings", """
+  SELECT signal, user_id, round(key1, 12) AS key1, round(key2, 12) AS key2 FROM (
+    SELECT 'behavioral' AS signal, user_id, spam_rate AS key1, CAST(review_count AS DOUBLE) AS key2 FROM profiles
+    UNION ALL SELECT 'rules', user_id, coalesce(l2_rule_max_weight, 0.0), coalesce(l2_rule_partial_max, 0.0)
+              FROM profiles LEFT JOIN rule_measures USING (user_id)
+    UNION ALL SELECT 'kmeans', user_id, avg(spam_rate) OVER (PARTITION BY cluster_id), 0 FROM given JOIN profiles USING (user_id)
+    UNION ALL SELECT 'dbscan', user_id, avg(spam_rate) OVER (PARTITION BY dbscan_cluster), 0
+              FROM dbscan_labels JOIN profiles USING (user_id)
+    UNION ALL SELECT 'supervised', user_id, max(score), 0 FROM scored GROUP BY user_id
+    UNION ALL SELECT 'anomaly', user_id, max(score2), 0 FROM scored GROUP BY user_id)
+  WHERE user_id IN (SELECT user_id FROM test_users)""")
+_ALL_PAIRS = ("pairs", " UNION ALL ".join(
+    f"SELECT '{a}' AS signal_a, '{b}' AS signal_b"
+    for i, a in enumerate(ALL_SIGNALS) for b in ALL_SIGNALS[i + 1:]))
+_RANKING_CTES = [*WITH_RULE_MEASURES, SCORED, _GIVEN, _TEST_USERS]
+_OVERLAP_CTES = [_ALL_RANKINGS, _RANKED, _ALL_PAIRS, _OVERLAPS]
+
+
+def all_rankings(spark, sf):
+    def build():
+        people, given = profiles(spark, sf), fixture.scored(spark, sf)
+        table = V.signal_rankings({
+            "behavioral": V.plain_ranking(people, "spam_rate", "review_count"),
+            "rules": V.plain_ranking(
+                handed_rule_features(spark, sf), "l2_rule_max_weight", "l2_rule_partial_max"),
+            "kmeans": V.cluster_ranking(given_clusters(people), people, "cluster_id"),
+            "dbscan": V.cluster_ranking(dbscan_labels(spark, sf), people, "dbscan_cluster"),
+            "supervised": V.plain_ranking(V.reviewer_scores(given, "score"), "score"),
+            "anomaly": V.plain_ranking(V.reviewer_scores(given, "score2"), "score2"),
+        }, test_users(spark, sf))
+        # means and weights may differ in the last bit between evaluations
+        return table.withColumns({c: F.round(c, 12) for c in ("key1", "key2")})
+
+    return hand_over(spark, sf, "all_rankings", build)
+
+
+def all_overlaps(spark, sf):
+    return V.topk_jaccard(all_rankings(spark, sf), ALL_SIGNALS)
+
+
+@query("signal_rankings_whole", with_dbscan(_RANKING_CTES, [_ALL_RANKINGS], f"""
+    SELECT signal, user_id, {r('key1', 'key1')}, {r('key2', 'key2')} FROM rankings"""))
+def signal_rankings_whole(spark, sf):
+    return rounded(all_rankings(spark, sf))
+
+
+@query("topk_jaccard_whole", with_dbscan(_RANKING_CTES, _OVERLAP_CTES, f"""
+    SELECT CAST(k AS INTEGER) AS k, signal_a, signal_b, intersection, "union", {r('jaccard', 'jaccard')}
+    FROM agreement"""))
+def topk_jaccard_whole(spark, sf):
+    return rounded(all_overlaps(spark, sf))
+
+
+@query("jaccard_matrix_whole", with_dbscan(
+    _RANKING_CTES, _OVERLAP_CTES, "SELECT signal_a, signal_b, " + ", ".join(
+        f'round(max(jaccard) FILTER (k = {k}), 6) AS "{k}"' for k in V.K_VALUES)
+    + " FROM agreement GROUP BY signal_a, signal_b"))
+def jaccard_matrix_whole(spark, sf):
+    return rounded(V.jaccard_matrix(all_overlaps(spark, sf)))
+
+
+@query("agreement_extremes_whole", with_dbscan(_RANKING_CTES, _OVERLAP_CTES, """
+    SELECT max(struct_pack(j := jaccard, p := signal_a || ' vs ' || signal_b)).p AS strongest,
+           round(max(jaccard), 6) AS strongest_jaccard,
+           min(struct_pack(j := jaccard, p := signal_a || ' vs ' || signal_b)).p AS weakest,
+           round(min(jaccard), 6) AS weakest_jaccard
+    FROM agreement WHERE k = 2000"""))
+def agreement_extremes_whole(spark, sf):
+    return rounded(V.agreement_extremes(all_overlaps(spark, sf)))
+
+
 def known_and_new(spark, sf):
     """Holdout reviewers play the new profiles, all others are known."""
     new = test_users(spark, sf)
@@ -833,3 +908,69 @@ def detection_rates(spark, sf):
     )
     flags = attackers.join(by_cluster, "user_id").join(scores, "user_id")
     return rounded(V.detection_rates(flags, ["clusters", "supervised", "anomaly"]))
+
+
+LAYERS = ["rules", "kmeans", "dbscan", "supervised", "anomaly"]
+
+
+def _best_sql(name: str, score: str) -> list[tuple[str, str]]:
+    """The threshold of the best F1 of one score, as ``best_<name>``."""
+    return [(f"counts_{name}", f"""
+      SELECT {score} AS score, sum(y) AS pos, count(*) - sum(y) AS neg FROM scored GROUP BY 1"""),
+      (f"sums_{name}", f"""
+      SELECT score, CAST(sum(pos) OVER w AS DOUBLE) AS tp, CAST(sum(neg) OVER w AS DOUBLE) AS fp,
+             (SELECT CAST(sum(pos) AS DOUBLE) FROM counts_{name}) AS P
+      FROM counts_{name} WINDOW w AS (ORDER BY score DESC)"""),
+      (f"best_{name}", f"""
+      SELECT score AS threshold FROM sums_{name} ORDER BY 2 * (tp / (tp + fp)) * (tp / P)
+             / (tp / (tp + fp) + tp / P + 1e-10) DESC, score LIMIT 1""")]
+
+
+@query("detection_rates_whole", with_dbscan(
+    [*WITH_RULE_MEASURES, SCORED, _GIVEN, _CLUSTER_RATES],
+    [*_best_sql("supervised", "score"), *_best_sql("anomaly", "score2"), ("dbscan_rates", """
+    SELECT dbscan_cluster, avg(spam_rate) AS noise_rate
+    FROM dbscan_labels JOIN profiles USING (user_id) GROUP BY dbscan_cluster"""), ("matched", f"""
+    SELECT user_id, bool_or(len(list_intersect(antecedents, [i1, i2, i3, i4])) = len(antecedents)) AS hit
+    FROM baskets, (SELECT * FROM rated_rules WHERE antecedent_spam_rate > {CUTOFF}) GROUP BY user_id"""),
+    ("flags", """
+    SELECT user_id, CASE WHEN tenure_days < 365 THEN 'easy' WHEN tenure_days < 1000 THEN 'medium'
+           ELSE 'hard' END AS tier,
+           CAST(coalesce(hit, false) AS INTEGER) AS rules, CAST(rate > 0.134 AS INTEGER) AS kmeans,
+           CAST(dbscan_cluster = -1 OR noise_rate > 0.134 AS INTEGER) AS dbscan,
+           CAST(best >= (SELECT threshold FROM best_supervised) AS INTEGER) AS supervised,
+           CAST(best2 >= (SELECT threshold FROM best_anomaly) AS INTEGER) AS anomaly
+    FROM profiles JOIN given USING (user_id) JOIN cluster_rates USING (cluster_id)
+    JOIN dbscan_labels USING (user_id) JOIN dbscan_rates USING (dbscan_cluster)
+    LEFT JOIN matched USING (user_id)
+    JOIN (SELECT user_id, max(score) AS best, max(score2) AS best2 FROM scored GROUP BY user_id) USING (user_id)
+    WHERE spam_count > 0""")], f"""
+    SELECT coalesce(tier, 'overall') AS tier, n_profiles, layer, round(rate, 6) AS rate
+    FROM (UNPIVOT (SELECT tier, count(*) AS n_profiles, {', '.join(f'avg({c}) AS {c}' for c in LAYERS)}
+                   FROM flags GROUP BY ROLLUP (tier))
+          ON {', '.join(LAYERS)} INTO NAME layer VALUE rate)"""))
+def detection_rates_whole(spark, sf):
+    people, given = profiles(spark, sf), fixture.scored(spark, sf)
+
+    def by_cluster(placed, cluster, layer, noise_is_flagged):
+        summary = K.cluster_summary(placed, people, cluster)
+        return V.cluster_flag(placed, summary, cluster, 0.134, noise_is_flagged).withColumnRenamed(
+            "cluster_flag", layer
+        )
+
+    def by_score(score, layer):
+        best = M.best_f1_threshold(given, score).select("threshold")
+        return V.model_flag(given, best, score).select("user_id", F.col("model_flag").alias(layer))
+
+    days = F.col("tenure_days")
+    flags = people.filter("spam_count > 0").select(
+        "user_id", F.when(days < 365, "easy").when(days < 1000, "medium").otherwise("hard").alias("tier")
+    )
+    for layer in (
+        B.rule_flag(B.encode_baskets(people), handed_rules(spark, sf)).withColumnRenamed("rule_flag", "rules"),
+        by_cluster(given_clusters(people), "cluster_id", "kmeans", False),
+        by_cluster(dbscan_labels(spark, sf), "dbscan_cluster", "dbscan", True),
+        by_score("score", "supervised"), by_score("score2", "anomaly"),
+    ):
+        flags = flags.join(layer, "user_id", "left")
+    return rounded(V.detection_rates(flags.na.fill(0, LAYERS), LAYERS))

@@ -14,3 +14,12 @@ def test_feature_table_has_rules_clusters_and_noise(spark):
             assert df.select(c).distinct().count() > 1, c
     assert learned.filter("kmeans_cluster_id < 0").count() == 0
     assert given.count() == learned.count() == queries()["feature_table"](spark, SF).count()
+
+
+def test_six_rankings_and_five_layers(spark):
+    rankings, pairs, rates = (queries()[f"{x}_whole"](spark, SF) for x in (
+        "signal_rankings", "topk_jaccard", "detection_rates"))
+    counts = {r["signal"]: r["count"] for r in rankings.groupBy("signal").count().collect()}
+    assert len(counts) == 6 and len(set(counts.values())) == 1
+    assert pairs.select("signal_a", "signal_b").distinct().count() == 15
+    assert {r["layer"] for r in rates.collect()} == {"rules", "kmeans", "dbscan", "supervised", "anomaly"}
