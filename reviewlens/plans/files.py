@@ -9,8 +9,8 @@ from reviewlens.operators import reviewers as RW
 from reviewlens.operators import sellers as SL
 from reviewlens.plans.registry import query, r, rounded, with_ctes
 from reviewlens.plans.rules import profiles
-from reviewlens.plans.sql import CORE, L1
-from reviewlens.session import scratch_path
+from reviewlens.plans.sql import CORE, L1, WITH_CUBES
+from reviewlens.session import scratch_path, store
 from reviewlens.sources import files, fixture
 from reviewlens.sources.fixture import table
 
@@ -124,14 +124,40 @@ def write_tables(spark, sf):
     SELECT 'time_x_rating' AS cube, CAST(sum(n) AS BIGINT) AS total_reviews, count(*) AS n_cells
     FROM (SELECT count(*) AS n FROM reviews GROUP BY year_month, rating)"""))
 def write_cubes(spark, sf):
+    return _cube_totals(spark, _written_cubes(spark, sf), "time_x_rating")
+
+
+_CUBES = {
+    "time_x_rating": (O.cube_time_x_rating, "year_month, rating_int"),
+    "tenure_x_rating": (O.cube_tenure_x_rating, "tenure_bin, rating_int"),
+    "time_x_tenure": (O.cube_time_x_tenure, "year_month, tenure_bin"),
+    "full_3d": (O.cube_full_3d, "year_month, rating_int, tenure_bin"),
+}
+
+
+def _written_cubes(spark, sf):
     reviews = fixture.reviews(spark, sf)
-    prepared = O.cube_input(reviews, RW.reviewer_profile(reviews))
-    paths = files.write_cubes(
-        {"time_x_rating": O.cube_time_x_rating(prepared)}, scratch_path(spark, "cubes")
-    )
-    back = spark.read.option("header", True).csv(paths["time_x_rating_csv"])
+    prepared = store(O.cube_input(reviews, RW.reviewer_profile(reviews)).select(
+        *O.DIMENSIONS, "is_spam", "review_length", "reviews_per_week", "max_seller_fraction"
+    ), "cube_input")
+    cubes = {name: build(prepared) for name, (build, _) in _CUBES.items()}
+    return files.write_cubes(cubes, scratch_path(spark, "cubes"))
+
+
+def _cube_totals(spark, paths, name):
+    back = spark.read.option("header", True).csv(paths[f"{name}_csv"])
     return back.agg(
-        F.first(F.lit("time_x_rating")).alias("cube"),
+        F.first(F.lit(name)).alias("cube"),
         F.sum(F.col("total_reviews").cast("long")).alias("total_reviews"),
         F.count(F.lit(1)).alias("n_cells"),
     )
+
+
+@query("write_cubes_whole", with_ctes(WITH_CUBES, " UNION ALL ".join(f"""
+    SELECT '{name}' AS cube, CAST(sum(n) AS BIGINT) AS total_reviews, count(*) AS n_cells
+    FROM (SELECT count(*) AS n FROM cube_input GROUP BY {dimensions})"""
+    for name, (_, dimensions) in _CUBES.items())))
+def write_cubes_whole(spark, sf):
+    paths = _written_cubes(spark, sf)
+    totals = [_cube_totals(spark, paths, name) for name in _CUBES]
+    return totals[0].unionByName(totals[1]).unionByName(totals[2]).unionByName(totals[3])

@@ -23,3 +23,16 @@ def test_six_rankings_and_five_layers(spark):
     assert len(counts) == 6 and len(set(counts.values())) == 1
     assert pairs.select("signal_a", "signal_b").distinct().count() == 15
     assert {r["layer"] for r in rates.collect()} == {"rules", "kmeans", "dbscan", "supervised", "anomaly"}
+
+
+def test_write_cubes_writes_all_four(spark, monkeypatch):
+    from reviewlens.sources import files
+
+    written, write = {}, files.write_cubes
+    monkeypatch.setattr(files, "write_cubes", lambda cubes, root: written.update(write(cubes, root)) or written)
+    names = {"time_x_rating", "tenure_x_rating", "time_x_tenure", "full_3d"}
+    queries()["write_cubes"](spark, SF)
+    assert names <= set(written)
+    rows = queries()["write_cubes_whole"](spark, SF).collect()
+    assert {r["cube"] for r in rows} == names
+    assert len({r["total_reviews"] for r in rows}) == 1
