@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions.columns import bin_tenure
 from reviewlens.functions import ordered as O
+from reviewlens.operators import fusion as T
 from reviewlens.operators import metrics as M
 from reviewlens.operators import reviewers as RW
 from reviewlens.operators import splits as S
 from reviewlens.plans.registry import query, r, rounded, with_ctes
+from reviewlens.plans.rules import WITH_RULE_MEASURES, handed_rule_features, profiles
 from reviewlens.plans.sql import CORE, L1, PROFILES, SCORED, WITH_PROFILES
 from reviewlens.sources import fixture
 
@@ -184,6 +186,45 @@ def feature_deltas(spark, sf):
     return rounded(M.feature_deltas(_judged(spark, sf), DELTA_FEATURES), 5)
 
 
+# the 16 measures of the error analysis: text, reviewer, rules and text score
+ALL_DELTA_FEATURES = ["review_length", "word_count", "exclamation_count", "capital_ratio",
+                      "avg_word_length", "review_count", "avg_rating", "rating_std", "tenure_days",
+                      "reviews_per_week", "max_seller_fraction", "burst_score", "rating_entropy",
+                      "l2_rule_max_weight", "l2_rule_partial_mean", "text_spam_prob"]
+_TEXT_SCORES = ("text_scores", """
+  SELECT review_id, CAST(toxic AS DOUBLE) AS text_spam_prob FROM core JOIN labels USING (doc_id)""")
+_ALL_JUDGED = ("judged", f"""
+  SELECT {_OUTCOME} AS outcome, t.review_length, t.word_count, t.exclamation_count, t.capital_ratio,
+         t.avg_word_length, p.* EXCLUDE (user_id),
+         coalesce(m.l2_rule_max_weight, 0.0) AS l2_rule_max_weight,
+         coalesce(m.l2_rule_partial_mean, 0.0) AS l2_rule_partial_mean,
+         coalesce(s.text_spam_prob, (SELECT quantile_cont(text_spam_prob, 0.5) FROM text_scores)) AS text_spam_prob
+  FROM scored JOIN reviews t USING (review_id) LEFT JOIN profiles p ON p.user_id = scored.user_id
+  LEFT JOIN rule_measures m ON m.user_id = scored.user_id LEFT JOIN text_scores s USING (review_id)""")
+
+
+@query("feature_deltas_whole", with_ctes(
+    [*WITH_RULE_MEASURES, SCORED, _TEXT_SCORES, _ALL_JUDGED, ("deltas", " UNION ALL ".join(
+        f"""SELECT '{a}-{b}' AS contrast, '{f}' AS feature,
+            avg({f}) FILTER (outcome = '{a}') - avg({f}) FILTER (outcome = '{b}') AS delta
+            FROM judged""" for f in ALL_DELTA_FEATURES for a, b in (("FP", "TP"), ("FN", "TN"))))],
+    """SELECT contrast, feature, round(delta, 5) AS delta, round(abs(delta), 5) AS abs_delta
+       FROM deltas QUALIFY row_number() OVER (PARTITION BY contrast
+                                              ORDER BY abs(delta) DESC, feature) <= 10"""))
+def feature_deltas_whole(spark, sf):
+    reviews = fixture.reviews(spark, sf)
+    known = reviews.join(fixture.table(spark, sf, "labels"), "doc_id").select(
+        "review_id", F.col("toxic").cast("double").alias(T.TEXT_SCORE)
+    )
+    fused = T.feature_table(
+        reviews, profiles(spark, sf), handed_rule_features(spark, sf), text_scores=known
+    ).select("review_id", *ALL_DELTA_FEATURES)
+    judged = fixture.scored(spark, sf).select(
+        "review_id", M.outcome(F.col("score") >= 0.5, F.col("y")).alias("outcome")
+    )
+    return rounded(M.feature_deltas(judged.join(fused, "review_id"), ALL_DELTA_FEATURES), 5)
+
+
 def row_hash(seed: int, key: str) -> str:
     return f"md5('{seed}|' || CAST({key} AS VARCHAR))"
 

@@ -36,3 +36,13 @@ def test_write_cubes_writes_all_four(spark, monkeypatch):
     rows = queries()["write_cubes_whole"](spark, SF).collect()
     assert {r["cube"] for r in rows} == names
     assert len({r["total_reviews"] for r in rows}) == 1
+
+
+def test_feature_deltas_see_all_16_features(spark, monkeypatch):
+    from reviewlens.operators import metrics as M
+
+    asked, deltas = [], M.feature_deltas
+    monkeypatch.setattr(M, "feature_deltas", lambda df, features: asked.extend(features) or deltas(df, features))
+    rows = queries()["feature_deltas_whole"](spark, SF).collect()
+    assert len(set(asked)) == 16 and len(rows) == 20
+    assert {"review_length", "word_count"} <= {r["feature"] for r in rows}
