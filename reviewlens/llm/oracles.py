@@ -138,3 +138,142 @@ links AS (
 SELECT split.doc_id, class_id, CAST(class_size AS BIGINT) AS class_size, CAST(coalesce(n, 0) AS BIGINT) AS n_links
 FROM split JOIN classes USING (k) LEFT JOIN degrees USING (k)
 """
+
+_ITEM_WORDS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+ORACLES["op11_benchmark_decontamination"] = f"""
+WITH worded AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, doc_id, {_ITEM_WORDS} AS w FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, w, least(10, len(w)) AS l
+  FROM (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark) WHERE len(w) > 0
+), windows AS MATERIALIZED (
+  SELECT DISTINCT item, l, array_to_string(w[i:i + l - 1], ' ') AS passage
+  FROM (SELECT item, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM items)
+), places AS (
+  SELECT k, i, l, array_to_string(w[i:i + l - 1], ' ') AS passage
+  FROM (SELECT k, w, l, unnest(range(1, len(w) - l + 2)) AS i
+        FROM worded, (SELECT DISTINCT l FROM windows) WHERE len(w) >= l)
+), hits AS MATERIALIZED (
+  SELECT k, i, l, item FROM places JOIN windows USING (l, passage)
+), covered AS (
+  SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest(range(i, i + l)) AS p FROM (SELECT DISTINCT k, i, l FROM hits))
+  GROUP BY k
+), named AS (
+  SELECT k, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT k, item FROM hits WHERE item IS NOT NULL) GROUP BY k
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(named.n, 0) AS BIGINT) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(covered.n, 0) > 0 AS contaminated
+FROM worded LEFT JOIN covered USING (k) LEFT JOIN named USING (k)
+"""
+
+
+def _spelled(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_spelled, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+# The checksum of a short text, bit by bit.
+_CRC32_OF_ID = """xor(list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[]),
+    lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, source, {_leaf("text")} AS leaf,
+         CASE WHEN {_CRC32_OF_ID} % 5 = 0
+         THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+  FROM documents
+), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n FROM leaves
+), nodes(source, lvl, pos, n, digest) AS (
+  SELECT source, 0, pos, n, leaf FROM placed
+  UNION ALL
+  SELECT source, lvl + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY source, lvl, pos // 16, n
+), tops AS MATERIALIZED (
+  SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), upper(lvl, pos, n, digest) AS (
+  SELECT 0, pos, n, digest FROM tops
+  UNION ALL
+  SELECT lvl + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM upper WHERE n > 1 GROUP BY lvl, pos // 16, n
+), siblings AS MATERIALIZED (
+  SELECT a.source, a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM nodes a JOIN nodes b ON a.source IS NOT DISTINCT FROM b.source AND a.lvl = b.lvl AND a.pos // 16 = b.pos // 16
+  GROUP BY a.source, a.lvl, a.pos
+), upper_siblings AS MATERIALIZED (
+  SELECT a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM upper a JOIN upper b ON a.lvl = b.lvl AND a.pos // 16 = b.pos // 16 GROUP BY a.lvl, a.pos
+), climb(rid, source, lvl, pos, n, digest, proof) AS (
+  SELECT rid, source, 0, pos, n, coalesce(tampered, leaf), '' FROM placed
+  UNION ALL
+  SELECT c.rid, c.source, c.lvl + 1, c.pos // 16, (c.n + 15) // 16, sha256(s.l || c.digest || s.r), c.proof || s.l || s.r
+  FROM climb c JOIN siblings s ON c.source IS NOT DISTINCT FROM s.source AND c.lvl = s.lvl AND c.pos = s.pos WHERE c.n > 1
+), rise(rid, lvl, pos, n, digest, proof) AS (
+  SELECT c.rid, 0, t.pos, t.n, c.digest, c.proof FROM climb c JOIN tops t ON c.source IS NOT DISTINCT FROM t.source
+  WHERE c.n = 1
+  UNION ALL
+  SELECT c.rid, c.lvl + 1, c.pos // 16, (c.n + 15) // 16, sha256(s.l || c.digest || s.r), c.proof || s.l || s.r
+  FROM rise c JOIN upper_siblings s ON c.lvl = s.lvl AND c.pos = s.pos WHERE c.n > 1
+)
+SELECT p.doc_id, p.leaf, t.digest AS subroot, u.digest AS root, sha256(r.proof) AS proof_sha256,
+       r.digest AS folded_root, r.digest = u.digest AS verified
+FROM placed p JOIN tops t ON p.source IS NOT DISTINCT FROM t.source
+JOIN (SELECT * FROM rise WHERE n = 1) r ON p.rid = r.rid, (SELECT digest FROM upper WHERE n = 1) u
+"""
+
+
+def _vector_codes() -> str:
+    distance = "list_sum(list_transform(list_zip(x.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+    def assigned(books: str) -> str:
+        return (f"SELECT x.rid, x.p, any_value(x.part) AS part, CAST(min(CAST({distance} AS BIGINT) * 16 + b.entry) AS BIGINT) AS best "
+                f"FROM parts x JOIN {books} b ON x.p = b.p GROUP BY x.rid, x.p")
+
+    steps = []
+    for i in range(6):
+        steps.append(f"""a{i} AS MATERIALIZED ({assigned(f"b{i}")}
+), b{i + 1} AS MATERIALIZED (
+  SELECT b.p, b.entry, coalesce(m.part, b.part) AS part FROM b{i} b LEFT JOIN (
+    SELECT p, entry, list(mean ORDER BY spot) AS part FROM (
+      SELECT p, entry, spot, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS mean
+      FROM (SELECT p, best % 16 AS entry, unnest(part) AS x, generate_subscripts(part, 1) AS spot FROM a{i})
+      GROUP BY p, entry, spot) GROUP BY p, entry) m USING (p, entry)
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(e, lambda x: CAST(floor(x * 4096) AS BIGINT)) AS v
+  FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL)
+  WHERE len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT rid, vec_id, p, v[p * (len(v) // 8) + 1:(p + 1) * (len(v) // 8)] AS part FROM kept, range(8) AS t(p)
+), b0 AS MATERIALIZED (
+  SELECT p, j - 1 AS entry, part
+  FROM (SELECT p, part, row_number() OVER (PARTITION BY p ORDER BY vec_id) AS j FROM parts) WHERE j <= 16
+), {", ".join(steps)}, final AS MATERIALIZED ({assigned("b6")}
+), coded AS (
+  SELECT rid, string_agg(printf('%02x', best % 16), '' ORDER BY p) AS code, CAST(sum(best // 16) AS BIGINT) AS error
+  FROM final GROUP BY rid
+), books AS (
+  SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY p, entry)) AS codebooks_sha256 FROM b6
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (rid), books
+"""
+
+
+ORACLES["op13_vector_codes"] = _vector_codes()

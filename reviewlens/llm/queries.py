@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.llm import (
-    jaccard_join, language_id, mixing, nearest, quality_model, quality_rules, secret_scan, sentencepiece_lattice,
-    sharding, token_counts,
+    decontaminate, jaccard_join, language_id, merkle, mixing, nearest, part_codes, quality_model, quality_rules,
+    secret_scan, sentencepiece_lattice, sharding, token_counts,
 )
 from reviewlens.llm.common import table
 
@@ -128,3 +128,39 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat ten consecutive words of a test item."""
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests and proofs of all documents; every fifth text, by checksum of its id, is tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    changed = merkle.leaf_of([
+        merkle.lower_cased(F.col(c)) if c == "text" else F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")
+    ])
+    manifest = merkle.build_manifest(docs, carry={"tampered_leaf": F.when(fold("doc_id", 5) == 0, changed)})
+    checked = merkle.verify(manifest, F.coalesce("tampered_leaf", "leaf"))
+    return checked.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight codes of sixteen entries for every embedding, and their errors."""
+    codes, codebooks = part_codes.compress(table(spark, sf_dir, "embeddings"))
+    code = F.lower(F.array_join(F.transform("codes", lambda c: F.lpad(F.hex(c), 2, "0")), ""))
+    return part_codes.label_errors(codes).select(
+        "vec_id", code.alias("code"), "error", "label_error",
+        F.lit(part_codes.codebooks_digest(codebooks)).alias("codebooks_sha256"),
+    )

@@ -32,7 +32,7 @@ def test_matches_sql(spark, con, name):
 
 
 def test_all_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_shards_match_sql(spark, con, documents):
