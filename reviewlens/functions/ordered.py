@@ -164,14 +164,3 @@ def deal(df: DataFrame, key: str, strata: list[str], hands: int, seed: int, out:
         .withColumn(out, ((F.col("_r") + F.col("_before") - 1) % hands).cast("int"))
         .drop("_h", "_d", "_r", "_before")
     )
-
-
-def topk(df: DataFrame, k: int, *order: Column) -> DataFrame:
-    """The first k rows; give enough keys to break all ties."""
-    return df.orderBy(*order).limit(k)
-
-
-def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """n rows without replacement: those with the smallest hash of key and seed."""
-    order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
-    return topk(df, n, order.asc(), F.col(key).asc())

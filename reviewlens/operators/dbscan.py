@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.operators.components import components
+from reviewlens.operators.components import components, stars
 from reviewlens.operators.neighbors import (
     WIDE_ROWS, Blocks, collapse, meet, near_pairs, pack, squared_distances,
 )
@@ -306,29 +306,168 @@ def dbscan(
     return _expand(rows, distinct, labels, key, features, "dbscan_cluster")
 
 
+# ---- all radii from one neighbour search ---------------------------------------------------
+#
+# A radius is a level: the place of the smallest candidate radius that reaches. A
+# point has the level from which on it is core; two core points are linked from
+# the level on at which both are core and within the radius. Every pair of blocks
+# reports a spanning forest of its own links, of lowest levels, which joins up at
+# every level what all its links would. Cutting all forests at a level gives the
+# clusters of that radius.
+
+def _count_levels(radii: list[float], dims: int):
+    """Neighbours of every point of a block within each radius, by place in the block."""
+    limits = [r * r for r in radii]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block = x = near = None
+
+        def made() -> pd.DataFrame:
+            return pd.DataFrame({"a": block, "at": np.arange(len(x)), "near": near.tolist()})
+
+        for batch in batches:
+            for row in batch.itertuples():
+                here = np.asarray(row.x).reshape(-1, dims)
+                if row.gap2 < 0:
+                    if x is not None:
+                        yield made()
+                    block, x, near = row.a, here, np.zeros((len(here), len(limits)), np.int64)
+                    continue
+                d2, w = squared_distances(x, here), np.asarray(row.w, np.int64)
+                for level, limit in enumerate(limits):
+                    near[:, level] += (d2 <= limit) @ w
+        if x is not None:
+            yield made()
+
+    return run
+
+
+def spanning_edges(i: np.ndarray, j: np.ndarray, level: np.ndarray, n: int) -> np.ndarray:
+    """Places of the edges of a spanning forest of lowest levels (Boruvka)."""
+    order = np.argsort(level, kind="stable")
+    i, j = i[order], j[order]
+    comp, live, chosen = np.arange(n), np.arange(len(i)), []
+    while True:
+        live = live[comp[i[live]] != comp[j[live]]]
+        if not len(live):
+            return order[np.concatenate(chosen)] if chosen else order[:0]
+        best = np.full(n, len(i))
+        np.minimum.at(best, comp[i[live]], live)
+        np.minimum.at(best, comp[j[live]], live)
+        picked = np.unique(best[best < len(i)])
+        chosen.append(picked)
+        parent = np.arange(n)
+        for u, v in zip(comp[i[picked]].tolist(), comp[j[picked]].tolist(), strict=True):
+            while parent[u] != u:
+                u = parent[u]
+            while parent[v] != v:
+                v = parent[v]
+            parent[max(u, v)] = min(u, v)
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        comp = parent[comp]
+
+
+def _forests(radii: list[float], dims: int):
+    """(u, v, level): forest edges between two blocks; and for u = v the level
+    from which on a point is core or within the radius of a core point."""
+    limits, never = np.array([r * r for r in radii]), len(radii)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block = pid = x = own = reached = None
+
+        def points() -> pd.DataFrame:
+            return pd.DataFrame({"u": pid, "v": pid, "level": reached})
+
+        for batch in batches:
+            for row in batch.itertuples():
+                here, there = np.asarray(row.x).reshape(-1, dims), np.asarray(row.pid, np.int64)
+                level = np.asarray(row.level, np.int64)
+                if row.gap2 < 0:
+                    if pid is not None:
+                        yield points()
+                    block, pid, x, own, reached = row.a, there, here, level, level.copy()
+                    continue
+                d2 = squared_distances(x, here)
+                apart = np.maximum(np.searchsorted(limits, d2.ravel()).reshape(d2.shape), level[None, :])
+                reached = np.minimum(reached, apart.min(axis=1))
+                if row.b < block:
+                    continue  # the other way round
+                apart = np.maximum(apart, own[:, None])
+                i, j = np.nonzero(apart < never)
+                same = row.b == block
+                picked = spanning_edges(i, j if same else j + len(pid), apart[i, j], len(pid) + (0 if same else len(there)))
+                yield pd.DataFrame({"u": pid[i[picked]], "v": there[j[picked]], "level": apart[i[picked], j[picked]]})
+        if pid is not None:
+            yield points()
+
+    return run
+
+
+def reach_levels(blocks: Blocks, radii: list[float], min_samples: int) -> tuple[DataFrame, DataFrame]:
+    """(pid, w, core, reached: the levels from which on a point is core, and in a
+    cluster) and (u, v, level: forest edges), for rising ``radii``; both stored.
+
+    Block pairs are searched once, for the largest radius. A level of
+    ``len(radii)`` means never.
+    """
+    never, widest = len(radii), F.lit(float(radii[-1])).alias("radius")
+    pairs = near_pairs(
+        _leaf(blocks.rows, "a", "lo", "hi", widest), _leaf(blocks.rows, "b", "lo", "hi"), blocks, "reach_pairs"
+    )
+    item = F.struct("pid", "x", "w").alias("item")
+    counted = meet(
+        pairs, blocks.rows.select(F.col("block").alias("a"), item), blocks.rows.select(F.col("block").alias("b"), item),
+        _count_levels(radii, blocks.dims), "a long, at int, near array<bigint>", "near",
+    )
+    summed = counted.groupBy("a", "at").agg(*[F.sum(F.col("near")[i]).alias(f"n{i}") for i in range(never)])
+    level = F.coalesce(*[F.when(F.col(f"n{i}") >= min_samples, F.lit(i)) for i in range(never)], F.lit(never))
+    per_block = summed.select("a", F.struct("at", level.alias("level")).alias("e")).groupBy(F.col("a").alias("block")).agg(
+        F.sort_array(F.collect_list("e")).alias("e")  # one entry per point of a block
+    )
+    levelled = store(
+        blocks.rows.select("block", "pid", "x", "w").join(per_block.select("block", F.col("e.level").alias("level")), "block"),
+        "levelled",
+    )
+    item = F.struct("pid", "x", "level").alias("item")
+    found = meet(
+        pairs, levelled.select(F.col("block").alias("a"), item), levelled.select(F.col("block").alias("b"), item),
+        _forests(radii, blocks.dims), "u long, v long, level int", "forests",
+    )
+    reached = found.filter("u = v").groupBy(F.col("u").alias("pid")).agg(F.min("level").alias("reached"))
+    points = levelled.select(F.explode(F.arrays_zip("pid", "w", "level")).alias("p")).select(
+        "p.pid", "p.w", F.col("p.level").alias("core")
+    )
+    return store(points.join(reached, "pid"), "reach"), found.filter("u <> v")
+
+
 def dbscan_eps_sweep(
     points: DataFrame, key: str, features: list[str],
     candidates: list[float] = tuple(EPS_CANDIDATES), min_samples: int = MIN_SAMPLES,
 ) -> DataFrame:
     """Clusters and noise per radius, and the chosen radius.
 
-    Noise counts rows, not points. Blocks are packed once for all radii.
+    Noise counts rows, not points. All radii come from one neighbour search; a
+    cluster is a core point that no forest edge of its radius joins to a smaller.
     """
     _, distinct = _stored(points, key, features)
-    blocks = pack(distinct, features)
-    parts = []
-    for eps in candidates:
-        labels = dbscan_points(blocks, eps, min_samples).join(distinct.select("pid", "w"), "pid")
-        parts.append(store(labels.groupBy("label").agg(F.sum("w").alias("n")).agg(
-            F.lit(float(eps)).alias("eps"),
-            F.count_if(F.col("label") != NOISE).alias("n_clusters"),
-            F.coalesce(F.sum(F.when(F.col("label") == NOISE, F.col("n"))), F.lit(0)).alias("n_noise"),
-            F.sum("n").alias("n_rows"),
-        ), "sweep"))
-    sweep = parts[0]
-    for part in parts[1:]:
-        sweep = sweep.unionByName(part)
-    sweep = sweep.withColumn("noise_frac", F.col("n_noise") / F.col("n_rows")).drop("n_rows")
+    radii = sorted(set(candidates))
+    reach, forest = reach_levels(pack(distinct, features), radii, min_samples)
+    counts = reach.agg(*[
+        F.struct(
+            F.count_if(F.col("core") <= i).alias("cores"),
+            F.coalesce(F.sum(F.when(F.col("reached") > i, F.col("w"))), F.lit(0)).alias("noise"),
+            F.coalesce(F.sum("w"), F.lit(0)).alias("rows"),
+        ).alias(f"l{i}") for i in range(len(radii))
+    ]).first()
+    joined, rows = None, []
+    for i, eps in enumerate(radii):
+        new = forest.filter(F.col("level") == i).select("u", "v")
+        joined = stars(new if joined is None else new.unionByName(joined.select(F.col("hi").alias("u"), F.col("lo").alias("v"))))
+        at = counts[f"l{i}"]
+        share = at["noise"] / at["rows"] if at["rows"] else None
+        rows.append((float(eps), at["cores"] - joined.count(), at["noise"], share))
+    sweep = points.sparkSession.createDataFrame(rows, "eps double, n_clusters long, n_noise long, noise_frac double")
     chosen = choose_eps(sweep).scalar()
     return sweep.withColumn("_best", chosen).withColumn(
         "chosen", (F.col("eps") == F.col("_best")).cast("int")

@@ -1,4 +1,4 @@
-"""Supervised models on the feature table, stacking and calibration."""
+"""Supervised models on the feature table, and stacking."""
 
 from __future__ import annotations
 
@@ -9,11 +9,10 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.functions.columns import logit, one_hot
+from reviewlens.functions.columns import one_hot
 from reviewlens.operators import metrics as M
 from reviewlens.operators.fusion import median_impute, with_balanced_weight
 from reviewlens.session import spread
@@ -138,40 +137,3 @@ def stack(rows: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
     classifier = LogisticRegression(labelCol="y", weightCol="weight", maxIter=200)
     model = _assembled(columns, True, classifier).fit(spread(with_balanced_weight(fit)))
     return score(model, held, keep)
-
-
-def platt(rows: DataFrame, keep: list[str], score_column: str = "score") -> DataFrame:
-    """Logistic regression on the logit of the score: fitted on half 0, applied to half 1."""
-    ready = rows.withColumn("_logit", logit(F.col(score_column)))
-    model = _assembled(["_logit"], False, LogisticRegression(labelCol="y", maxIter=200)).fit(
-        ready.filter(F.col("half") == 0)
-    )
-    return score(model, ready.filter(F.col("half") == 1), keep, "platt")
-
-
-def isotonic(rows: DataFrame, keep: list[str], score_column: str = "score") -> DataFrame:
-    """Monotone fit on half 0, applied to half 1; flat beyond the fitted range.
-
-    Equal scores are merged into one weighted point before the fit.
-    """
-    points = M.score_counts(rows.filter(F.col("half") == 0), score_column).select(
-        F.col("score").alias("_x"),
-        (F.col("pos") / (F.col("pos") + F.col("neg"))).alias("_y"),
-        (F.col("pos") + F.col("neg")).cast("double").alias("_w"),
-    )
-    model = IsotonicRegression(
-        featuresCol="_x", labelCol="_y", weightCol="_w", predictionCol="isotonic"
-    ).fit(points)
-    held = rows.filter(F.col("half") == 1).withColumn("_x", F.col(score_column))
-    return model.transform(held).select(*keep, "isotonic")
-
-
-def calibration_report(rows: DataFrame, key: str = "review_id") -> DataFrame:
-    """Brier score and ECE of the raw, Platt and isotonic scores on half 1."""
-    held = platt(rows, [key, "y", "score"]).join(isotonic(rows, [key]), key)
-    long = held.select("y", F.inline(F.array(*[
-        F.struct(F.lit(name).alias("variant"), F.col(c).alias("p"))
-        for name, c in (("uncalibrated", "score"), ("platt", "platt"), ("isotonic", "isotonic"))
-    ])))
-    errors = long.groupBy("variant").agg(F.avg(F.pow(F.col("p") - F.col("y"), 2)).alias("brier"))
-    return errors.join(M.ece(long, score="p", by=["variant"]), "variant")

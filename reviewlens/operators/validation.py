@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlens.functions.selection import topk_by
 from reviewlens.operators.clustering import apply_scaler, fit_scaler
 from reviewlens.operators.neighbors import collapse, knn
 from reviewlens.session import store
@@ -51,26 +52,15 @@ def signal_rankings(signals: dict[str, DataFrame], holdout: DataFrame) -> DataFr
     return table
 
 
-def _top(rankings: DataFrame, signals: list[str], limit: int) -> DataFrame:
-    """Ranked top rows per signal: each is limited first, so the ranking window
-    holds at most ``limit`` rows per signal."""
-    order = [F.desc("key1"), F.desc("key2"), F.asc("user_id")]
-    parts = [
-        rankings.filter(F.col("signal") == s).orderBy(*order).limit(limit) for s in signals
-    ]
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    rank = F.row_number().over(Window.partitionBy("signal").orderBy(*order))
-    return table.select("signal", "user_id", rank.alias("rank"))
-
-
 def topk_jaccard(
     rankings: DataFrame, signals: list[str], ks: list[int] = tuple(K_VALUES)
 ) -> DataFrame:
     """Intersection, union and Jaccard of the top-K sets of every signal pair."""
     ks = list(ks)
-    ranked = store(_top(rankings, signals, max(ks)), "top")
+    known = store(rankings.filter(F.col("signal").isin(*signals)), "rankings")
+    ranked = store(
+        topk_by(known, max(ks), ["signal"], "-key1", "-key2", "user_id").select("signal", "user_id", "rank"), "top"
+    )
     a = ranked.select("user_id", F.col("signal").alias("signal_a"), F.col("rank").alias("ra"))
     b = ranked.select("user_id", F.col("signal").alias("signal_b"), F.col("rank").alias("rb"))
     place = {s: i for i, s in enumerate(signals)}

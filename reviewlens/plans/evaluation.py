@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reviewlens.functions.columns import bin_tenure
-from reviewlens.functions import ordered as O
+from reviewlens.functions import selection as SE
 from reviewlens.operators import fusion as T
 from reviewlens.operators import metrics as M
 from reviewlens.operators import reviewers as RW
@@ -13,6 +13,7 @@ from reviewlens.operators import splits as S
 from reviewlens.plans.registry import query, r, rounded, with_ctes
 from reviewlens.plans.rules import WITH_RULE_MEASURES, handed_rule_features, profiles
 from reviewlens.plans.sql import CORE, L1, PROFILES, SCORED, WITH_PROFILES
+from reviewlens.session import store
 from reviewlens.sources import fixture
 
 _COUNTS = ("counts", """
@@ -126,7 +127,7 @@ def ece(spark, sf):
     ORDER BY score DESC, score2 DESC, review_id LIMIT 500"""))
 def topk(spark, sf):
     given = fixture.scored(spark, sf).select("review_id", "user_id", "score", "score2")
-    return O.topk(given, 500, F.desc("score"), F.desc("score2"), F.asc("review_id"))
+    return SE.topk(store(given, "scores"), 500, "-score", "-score2", "review_id")
 
 
 @query("seeded_sample", with_ctes([CORE], """
@@ -134,7 +135,7 @@ def topk(spark, sf):
     ORDER BY md5('42|' || review_id), review_id LIMIT 20000"""))
 def seeded_sample(spark, sf):
     rows = fixture.reviews(spark, sf).select("review_id", "user_id", "rating")
-    return O.seeded_sample(rows, "review_id", 20_000, 42)
+    return SE.seeded_sample(store(rows, "reviews"), "review_id", 20_000, 42)
 
 
 _OUTCOME = """CASE WHEN y = 1 AND score >= 0.5 THEN 'TP' WHEN y = 0 AND score >= 0.5 THEN 'FP'

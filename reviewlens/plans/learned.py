@@ -12,6 +12,7 @@ from reviewlens.functions.columns import one_hot
 from reviewlens.functions.ordered import quantiles
 from reviewlens.operators import anomaly as A
 from reviewlens.operators import baskets as B
+from reviewlens.operators import calibration as C
 from reviewlens.operators import clustering as K
 from reviewlens.operators import dbscan as D
 from reviewlens.operators import fusion as T
@@ -186,7 +187,28 @@ def with_dbscan(ctes, more, body: str) -> str:
     return first.replace("WITH ", "WITH RECURSIVE ", 1) + "," + _REACH + ",\n" + rest
 
 
-@query("dbscan_eps_sweep")
+@query("dbscan_eps_sweep", with_ctes([*_WITH_SCALED, ("radii", f"SELECT unnest({D.EPS_CANDIDATES}) AS eps"), ("pairs", f"""
+      SELECT a.user_id AS u, b.user_id AS v, {_distance('a', 'b')} AS d FROM scaled a, scaled b
+      WHERE {_distance('a', 'b')} <= {max(D.EPS_CANDIDATES)}"""), ("near", "SELECT eps, u, v FROM pairs, radii WHERE d <= eps"),
+    ("core_ids", "SELECT eps, u AS id FROM near GROUP BY eps, u HAVING count(*) >= 10"), ("links", """
+      SELECT eps, u, v FROM near WHERE (eps, u) IN (SELECT eps, id FROM core_ids) AND (eps, v) IN (SELECT eps, id FROM core_ids)""")],
+    "").replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + """,
+    cc(eps, id, label) USING KEY (eps, id) AS (
+      SELECT eps, id, id FROM core_ids
+      UNION
+      SELECT l.eps, l.v, min(cc.label) FROM cc JOIN links l ON l.u = cc.id AND l.eps = cc.eps
+      JOIN recurring.cc AS seen ON seen.id = l.v AND seen.eps = l.eps
+      WHERE cc.label < seen.label GROUP BY l.eps, l.v),
+    reached AS (SELECT DISTINCT near.eps, near.u FROM near JOIN core_ids ON core_ids.eps = near.eps AND core_ids.id = near.v),
+    sweep AS (
+      SELECT eps, (SELECT count(DISTINCT label) FROM cc WHERE cc.eps = radii.eps) AS n_clusters,
+             (SELECT count(*) FROM scaled) - (SELECT count(*) FROM reached WHERE reached.eps = radii.eps) AS n_noise,
+             (SELECT count(*) FROM scaled) AS n FROM radii),
+    best AS (SELECT eps AS chosen_eps FROM sweep
+             ORDER BY NOT (n_noise / n BETWEEN 0.01 AND 0.05), round(abs(n_noise / n - 0.03), 12), eps LIMIT 1)
+    SELECT CAST(eps AS DOUBLE) AS eps, n_clusters, n_noise, n_noise / n AS noise_frac, CAST(eps = CASE
+      WHEN (SELECT max(n_noise) FROM sweep, best WHERE eps = chosen_eps) > 0 THEN chosen_eps ELSE 0.5 END AS INTEGER) AS chosen
+    FROM sweep, best""")
 def dbscan_eps_sweep(spark, sf):
     return hand_over(
         spark, sf, "eps_sweep",
@@ -194,7 +216,11 @@ def dbscan_eps_sweep(spark, sf):
     )
 
 
-@query("noise_contrast")
+@query("noise_contrast", with_dbscan([*WITH_PROFILES], [], f"""
+    SELECT CASE WHEN dbscan_cluster = -1 THEN 'noise' ELSE 'clustered' END AS "group", count(*) AS n,
+           {r('avg(logged.burst_score)', 'mean_burst_score')}, {r('avg(logged.tenure_days)', 'mean_tenure_days')},
+           {r('avg(logged.max_seller_fraction)', 'mean_max_seller_fraction')}
+    FROM dbscan_labels JOIN logged USING (user_id) GROUP BY 1"""))
 def noise_contrast(spark, sf):
     labelled = dbscan_labels(spark, sf).join(logged(spark, sf), "user_id")
     return rounded(D.noise_contrast(labelled, ["burst_score", "tenure_days", "max_seller_fraction"]))
@@ -558,29 +584,57 @@ _HALVES = ("halves", f"""
          ORDER BY {row_hash(42, 'review_id')}) - 1) % 2 AS half FROM scored""")
 
 
-@query("platt")
-def platt(spark, sf):
-    return rounded(ML.platt(halves(spark, sf), ["review_id", "y"]))
-
-
-@query("isotonic", with_ctes([CORE, SCORED, _HALVES, ("pts", """
-    SELECT score, sum(y) AS pos, count(*) AS n FROM halves WHERE half = 0 GROUP BY score"""),
-    ("blocks", """
+_POINTS = ("pts", """
+    SELECT score, sum(y) AS pos, count(*) AS n, ln(greatest(1e-6, least(1 - 1e-6, score))
+           / (1 - greatest(1e-6, least(1 - 1e-6, score)))) AS x FROM halves WHERE half = 0 GROUP BY score""")
+_FITTED = [("blocks", """
     SELECT a.score AS lo, b.score AS hi, sum(c.pos) / CAST(sum(c.n) AS DOUBLE) AS mean
     FROM pts a JOIN pts b ON b.score >= a.score JOIN pts c ON c.score BETWEEN a.score AND b.score
     GROUP BY a.score, b.score"""),
     ("fitted", """
     SELECT score, max(low) AS value FROM (
       SELECT p.score, b.lo, min(b.mean) AS low FROM pts p
-      JOIN blocks b ON b.lo <= p.score AND b.hi >= p.score GROUP BY p.score, b.lo) GROUP BY score""")],
+      JOIN blocks b ON b.lo <= p.score AND b.hi >= p.score GROUP BY p.score, b.lo) GROUP BY score""")]
+_NEWTON = [("newton(step, a, b)", """
+    SELECT 0, 0::DOUBLE, (SELECT ln(sum(pos) / CAST(sum(n) - sum(pos) AS DOUBLE)) FROM pts)
+    UNION ALL
+    SELECT step + 1, a + (hbb * ga - hab * gb) / (haa * hbb - hab * hab),
+           b + (haa * gb - hab * ga) / (haa * hbb - hab * hab)
+    FROM (SELECT step, a, b, sum((pos - n * p) * x) AS ga, sum(pos - n * p) AS gb, sum(n * p * (1 - p) * x * x) AS haa,
+                 sum(n * p * (1 - p) * x) AS hab, sum(n * p * (1 - p)) AS hbb
+          FROM (SELECT *, 1 / (1 + exp(-(a * x + b))) AS p FROM newton, pts) GROUP BY step, a, b)
+    WHERE step < 25"""), ("held", """
+    SELECT review_id, y, score, 1 / (1 + exp(-(a * ln(greatest(1e-6, least(1 - 1e-6, score))
+           / (1 - greatest(1e-6, least(1 - 1e-6, score)))) + b))) AS platt
+    FROM halves, (SELECT a, b FROM newton WHERE step = 25) WHERE half = 1""")]
+
+
+def _recursive(ctes, body: str) -> str:
+    return with_ctes(ctes, body).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("platt", _recursive([CORE, SCORED, _HALVES, _POINTS, *_NEWTON], f"SELECT review_id, y, {r('platt', 'platt')} FROM held"))
+def platt(spark, sf):
+    return rounded(C.platt(halves(spark, sf), ["review_id", "y"]))
+
+
+@query("isotonic", with_ctes([CORE, SCORED, _HALVES, ("pts", """
+    SELECT score, sum(y) AS pos, count(*) AS n FROM halves WHERE half = 0 GROUP BY score"""), *_FITTED],
     f"SELECT review_id, y, {r('value', 'isotonic')} FROM halves JOIN fitted USING (score) WHERE half = 1"))
 def isotonic(spark, sf):
-    return rounded(ML.isotonic(halves(spark, sf), ["review_id", "y"]))
+    return rounded(C.isotonic(halves(spark, sf), ["review_id", "y"]))
 
 
-@query("calibration_report")
+@query("calibration_report", _recursive([CORE, SCORED, _HALVES, _POINTS, *_FITTED, *_NEWTON, ("variants", """
+    SELECT 'uncalibrated' AS variant, y, score AS p FROM held UNION ALL SELECT 'platt', y, platt FROM held
+    UNION ALL SELECT 'isotonic', y, value FROM held JOIN fitted USING (score)"""), ("gaps", """
+    SELECT variant, count(*) AS n, abs(avg(p) - avg(y)) AS gap FROM variants
+    GROUP BY variant, greatest(0, least(9, floor(p * 10)))""")], f"""
+    SELECT variant, {r('brier', 'brier')}, {r('ece', 'ece')} FROM (
+      SELECT variant, avg((p - y) ** 2) AS brier FROM variants GROUP BY variant)
+    JOIN (SELECT variant, sum(n * gap) / sum(n) AS ece FROM gaps GROUP BY variant) USING (variant)"""))
 def calibration_report(spark, sf):
-    return rounded(ML.calibration_report(halves(spark, sf)))
+    return rounded(C.calibration_report(halves(spark, sf)))
 
 
 # ---- preparation steps ---------------------------------------------------------------------

@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlens.functions import ordered as O
+from reviewlens.operators import calibration as C
 from reviewlens.operators import fusion as T
 from reviewlens.operators import metrics as M
-from reviewlens.operators import models as ML
 from reviewlens.operators import splits as S
 from reviewlens.operators import validation as V
 
@@ -121,9 +121,9 @@ def test_isotonic_is_monotone(spark):
     df = spark.createDataFrame(
         [(i, float(a), int(b), i % 2) for i, (a, b) in enumerate(zip(s, y))],
         "review_id int, score double, y int, half int")
-    out = ML.isotonic(df, ["review_id", "score"]).orderBy("score").toPandas()["isotonic"].to_numpy()
+    out = C.isotonic(df, ["review_id", "score"]).orderBy("score").toPandas()["isotonic"].to_numpy()
     assert (np.diff(out) >= -1e-12).all()
-    report = {r.variant: r for r in ML.calibration_report(df).collect()}
+    report = {r.variant: r for r in C.calibration_report(df).collect()}
     assert set(report) == {"uncalibrated", "platt", "isotonic"}
     assert all(0 <= r.brier <= 0.3 and 0 <= r.ece <= 0.2 for r in report.values())
 
