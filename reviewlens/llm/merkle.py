@@ -168,7 +168,8 @@ def build_manifest(
         leaf_of([F.col(f"`{c}`") for c in value_cols]).alias("digest"), *[c.alias(name) for name, c in carry.items()],
     )
     order = [F.col("doc_id").asc_nulls_first(), F.col("digest").asc()]
-    tree = levels(store(positions(leaves, ["source"], order), "merkle-leaves"), ["source"])
+    hashed_once = store(leaves, "merkle-digests")  # ranges are drawn from a sample, which would hash texts again
+    tree = levels(store(positions(hashed_once, ["source"], order), "merkle-leaves"), ["source"])
     tops = [nodes.filter(F.col("n") == 1).select("source", "digest") for nodes in tree]
     subroots = tops[0]
     for more in tops[1:]:
