@@ -129,10 +129,11 @@ def test_viterbi_fold(spark):
         return score[-1]
 
     df = spark.createDataFrame([(w,) for w in words], "word string")
-    folded = sentencepiece_lattice.lattice(df, table, 3, sentencepiece_lattice.score_edge()).withColumn(
-        "borders", sentencepiece_lattice.fold_viterbi(F.col("edges"), F.col("word"), -50.0)
+    folded = sentencepiece_lattice.ending_edges(df, table, 3, -50.0).withColumn(
+        "borders", sentencepiece_lattice.fold_viterbi(F.col("places"))
     )
-    for r in folded.select("word", sentencepiece_lattice._symbols(F.col("borders"), F.col("word")).alias("s")).collect():
+    assert folded.count() == len(words)
+    for r in folded.select("word", sentencepiece_lattice._cut(F.col("borders"), F.col("word")).alias("s")).collect():
         assert "".join(r["s"]) == r["word"] and sum(dict(pieces)[p] for p in r["s"]) == pytest.approx(best(r["word"]))
 
 
