@@ -125,6 +125,26 @@ def medians(df: DataFrame, columns: list[str], accuracy: int | None = None) -> D
     )
 
 
+def medians_and_deviations(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (feature, median, deviation): the median absolute deviation as well.
+
+    ``df`` is read once: both are taken from the counts of distinct values.
+    """
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns
+    ])).alias("e")).select("e.feature", "e.value").filter(F.col("value").isNotNull())
+    counts = store(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")), "counts")
+    middle = store(
+        quantiles(counts, "value", [0.5], ["feature"], weight="n").select("feature", F.col("q")[0].alias("median")),
+        "medians",
+    )
+    apart = counts.join(F.broadcast(middle), "feature").select(  # one row per column
+        "feature", F.abs(F.col("value") - F.col("median")).alias("value"), "n"
+    )
+    deviations = quantiles(apart, "value", [0.5], ["feature"], weight="n")
+    return middle.join(deviations.select("feature", F.col("q")[0].alias("deviation")), "feature")
+
+
 def describe_by(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max of one column per group."""
     moments = df.groupBy(*by).agg(

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions.columns import clip, prefixed
-from reviewlens.functions.ordered import medians
+from reviewlens.functions.ordered import medians, medians_and_deviations
+from reviewlens.session import store
 
 REVIEW_FEATURES = [
     "rating", "review_length", "word_count", "exclamation_count", "question_count",
@@ -63,8 +64,10 @@ def feature_table(
         table = table.withColumn(column, F.coalesce(value.cast("int"), F.lit(default)))
     table = table.na.fill(0, RULE_FEATURES)
     if text_scores is not None:
-        joined = table.join(text_scores.select("review_id", TEXT_SCORE), "review_id", "left")
-        middle = medians(joined.select(TEXT_SCORE), [TEXT_SCORE]).select("median")
+        scores = text_scores.select("review_id", TEXT_SCORE)
+        joined = table.join(scores, "review_id", "left")
+        # the median of the scores that reviews have: two narrow tables, not the fact table
+        middle = medians(reviews.select("review_id").join(scores, "review_id"), [TEXT_SCORE]).select("median")
         table = joined.withColumn("_m", middle.scalar()).withColumn(
             TEXT_SCORE, F.coalesce(TEXT_SCORE, "_m")
         ).drop("_m")
@@ -90,12 +93,19 @@ def median_impute(
 def robust_scale(
     df: DataFrame, train: DataFrame, columns: list[str], accuracy: int | None = None
 ) -> DataFrame:
-    """(x - median) / (1.4826 MAD) with training statistics, bounded to +-5."""
-    middle = _per_feature(medians(train, columns, accuracy))
-    deviations = train.withColumn("_m", middle.scalar()).select(*[
-        F.abs(F.col(c) - F.col("_m")[c]).alias(c) for c in columns
-    ])
-    spread = _per_feature(medians(deviations, columns, accuracy))
+    """(x - median) / (1.4826 MAD) with training statistics, bounded to +-5.
+
+    Exact statistics take one pass over the training rows, approximate ones two.
+    """
+    if accuracy is None:
+        known = store(medians_and_deviations(train, columns), "robust")
+        middle, spread = _per_feature(known.select("feature", "median")), _per_feature(known.select("feature", "deviation"))
+    else:
+        middle = _per_feature(medians(train, columns, accuracy))
+        deviations = train.withColumn("_m", middle.scalar()).select(*[
+            F.abs(F.col(c) - F.col("_m")[c]).alias(c) for c in columns
+        ])
+        spread = _per_feature(medians(deviations, columns, accuracy))
 
     def scaled(c: str) -> Column:
         mad = F.when(F.col("_d")[c] == 0, F.lit(1.0)).otherwise(F.col("_d")[c])

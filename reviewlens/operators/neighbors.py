@@ -32,6 +32,7 @@ AXIS_BITS = 7         # splits of one axis at most
 REACH_GROUPS = 2      # query points of a block: those that look near, those that look far
 NEAR_SHARE = 7 / 8
 PARTNERS_PER_TASK = 64
+MAX_STREAMS = 64      # streams of one block, so what they report per point stays bounded
 WIDE_ROWS = 128       # rows per Arrow batch when a row carries a block
 SLACK = 1e-9
 ESTIMATE_MARGIN = 1e-12  # bounds the rounding of |a|^2 + |b|^2 - 2ab
@@ -196,6 +197,53 @@ def _tree(leaves: DataFrame, key: str, lo: str, hi: str, levels: int, dims: int,
     return tables
 
 
+def _far2(a: tuple[str, str], b: tuple[str, str]) -> Column:
+    """Squared distance of the points of two boxes that lie farthest apart."""
+    def span(x: str, y: str) -> Column:
+        return F.zip_with(x, y, lambda p, q: F.abs(p - q))
+
+    widest = F.zip_with(span(a[1], b[0]), span(b[1], a[0]), lambda p, q: F.greatest(p, q))
+    return F.aggregate(widest, F.lit(0.0), lambda total, gap: total + gap * gap)
+
+
+def nearest_pairs(queries: DataFrame, bases: DataFrame, blocks: Blocks, name: str, rows: int) -> DataFrame:
+    """Block pairs (a, b, gap2) that can hold the nearest ``rows`` base rows of a
+    point of block a, walking down both box trees.
+
+    ``queries``: a, alo, ahi, radius (may be infinite). ``bases``: b, blo, bhi and
+    n, the base rows in the box. On every level the nearest box that holds enough
+    rows bounds the search of all points of box a by the farthest they can lie
+    apart, so points without a radius of their own, far from every base point,
+    still meet only the boxes on their side.
+    """
+    above = _tree(queries, "a", "alo", "ahi", blocks.levels, blocks.dims, {"radius": F.max})
+    below = _tree(bases, "b", "blo", "bhi", blocks.levels, blocks.dims, {"n": F.sum})
+    pairs = None
+    for level in range(blocks.levels, -1, -1):
+        a, b = above[level], below[level]
+        if pairs is None:  # both trees end in one root box
+            met = a.withColumn("_root", F.lit(1)).join(b.withColumn("_root", F.lit(1)), "_root").withColumn(
+                "limit", F.lit(math.inf)
+            )
+        else:
+            met = (
+                pairs.select(F.col("a").alias("_pa"), F.col("b").alias("_pb"), "limit")
+                .join(a.withColumn("_pa", F.shiftright("a", FAN_BITS)), "_pa")
+                .join(b.withColumn("_pb", F.shiftright("b", FAN_BITS)), "_pb")
+            )
+        own = F.least("limit", F.col("radius") * F.col("radius"))
+        met = store(met.select(
+            "a", "b", own.alias("limit"), _gap2(("alo", "ahi"), ("blo", "bhi")).alias("gap2"),
+            F.when(F.col("n") >= rows, _far2(("alo", "ahi"), ("blo", "bhi"))).alias("far2"),
+        ), name)
+        bounds = met.groupBy("a").agg(F.min("far2").alias("bound"))
+        limit = F.least("limit", F.coalesce("bound", F.lit(math.inf)))
+        pairs = met.join(bounds, "a").withColumn("limit", limit).filter(
+            F.col("gap2") <= F.col("limit") * (1 + SLACK) + SLACK
+        ).select("a", "b", "gap2", "limit")
+    return store(pairs.drop("limit"), name)
+
+
 def near_pairs(
     queries: DataFrame, bases: DataFrame, blocks: Blocks, name: str,
     keep: Column | None = None,
@@ -240,7 +288,7 @@ def meet(
     A block with very many partners is dealt to several streams.
     """
     partners = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    streams = F.ceil(F.col("n") / PARTNERS_PER_TASK).cast("int")
+    streams = F.least(F.lit(MAX_STREAMS), F.ceil(F.col("n") / PARTNERS_PER_TASK)).cast("int")
     partners = partners.select("a", streams.alias("streams"))
     heads = (
         partners.select("a", F.explode(F.sequence(F.lit(0), F.col("streams") - 1)).alias("stream"))
@@ -409,10 +457,11 @@ def knn(
                 "pid: array<bigint>, x: array<double>, w: array<bigint>, is_base: array<int>>",
             ), "reach",
         )
+    copies = F.aggregate(F.zip_with("w", "is_base", lambda w, base: w * base), F.lit(0).cast("long"), lambda n, w: n + w)
     bases = blocks.rows.filter(F.array_max("is_base") == 1).select(
-        F.col("block").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi")
+        F.col("block").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"), copies.alias("n")
     )
-    pairs = near_pairs(reach.drop("item"), bases, blocks, "near")
+    pairs = nearest_pairs(reach.drop("item"), bases, blocks, "near", k if include_self else k + 1)
     found = meet(
         pairs,
         reach.select("a", "item"),
@@ -420,7 +469,7 @@ def knn(
         _search(k, blocks.dims, include_self),
         "pid long, d array<double>, id array<bigint>, w array<bigint>", "nearest",
     )
-    # a point's streams each hold at most k candidates
+    # a point has at most MAX_STREAMS streams, and each holds at most k candidates
     zipped = F.arrays_zip("d", "id", "w")
     return found.groupBy("pid").agg(
         F.slice(F.array_sort(F.flatten(F.collect_list(zipped))), 1, k).alias("nbrs")

@@ -1,14 +1,15 @@
-"""Text classifier and text vectors as spark.ml pipelines over whole texts."""
+"""Text classifier as a spark.ml pipeline over whole texts."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, Word2Vec
+from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlens.functions.columns import usable_text
 from reviewlens.operators.fusion import with_balanced_weight
 from reviewlens.session import spread
 
@@ -30,25 +31,13 @@ def fit_text_model(train: DataFrame, text: str = "text", y: str = "y") -> Pipeli
 def text_spam_prob(
     model: PipelineModel, texts: DataFrame, keep: list[str], threshold: float = 0.5
 ) -> DataFrame:
-    """Probability rounded to six places, and the two predictions."""
-    prob = F.round(vector_to_array("probability")[1], 6)
-    return model.transform(texts.withColumn("weight", F.lit(1.0))).select(
+    """Probability rounded to six places, and the two predictions; null for a text that is not usable."""
+    prob = F.when(usable_text(F.col("text")), F.round(vector_to_array("probability")[1], 6))
+    filled = texts.withColumns({"weight": F.lit(1.0), "text": F.coalesce("text", F.lit(""))})
+    return model.transform(filled).select(
         *keep, prob.alias("text_spam_prob")
     ).withColumns({
         "pred_default": (F.col("text_spam_prob") >= 0.5).cast("int"),
         "pred_optimal": (F.col("text_spam_prob") >= threshold).cast("int"),
     })
 
-
-def text_embedding(
-    texts: DataFrame, keep: list[str], text: str = "text", size: int = 64, seed: int = 42
-) -> DataFrame:
-    """One mean-pooled word vector per text, beside its keys."""
-    terms = RegexTokenizer(inputCol=text, outputCol="_terms", pattern=r"\W+").transform(spread(texts))
-    model = Word2Vec(
-        inputCol="_terms", outputCol="_vector", vectorSize=size, minCount=2, seed=seed,
-        maxIter=1, numPartitions=max(1, terms.rdd.getNumPartitions()),
-    ).fit(terms)
-    return model.transform(terms).select(
-        *keep, vector_to_array("_vector", "float32").alias("embedding")
-    )

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from reviewlens.functions.columns import feature_names, rename_present
 from reviewlens.operators import olap as O
 from reviewlens.operators import reviewers as RW
 from reviewlens.operators import sellers as SL
 from reviewlens.plans.registry import query, r, rounded, with_ctes
 from reviewlens.plans.rules import profiles
-from reviewlens.plans.sql import CORE, L1, WITH_CUBES
+from reviewlens.plans.sql import CORE, L1, PROFILES, WITH_CUBES
 from reviewlens.session import scratch_path, store
 from reviewlens.sources import files, fixture
 from reviewlens.sources.fixture import table
@@ -103,6 +104,71 @@ def write_csv(spark, sf):
     return back.filter("_malformed IS NULL").drop("_malformed")
 
 
+@query("read_csv_tolerant", """
+    SELECT doc_id, lang, source, n_chars, text, CAST(NULL AS VARCHAR) AS malformed FROM documents
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, doc_id || ',too,many,fields,in,this,line' FROM documents
+    WHERE doc_id % 7 = 3""")
+def read_csv_tolerant(spark, sf):
+    """Whole texts with line ends inside quotes, broken lines among them; every file is read in many splits."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", "text")
+    line = F.to_csv(F.struct(*docs.columns), {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+                                              "ignoreTrailingWhiteSpace": "false", "quoteAll": "true"})
+    broken = F.concat(F.col("doc_id").cast("string"), F.lit(",too,many,fields,in,this,line"))
+    lines = F.when(F.col("doc_id") % 7 == 3, F.array(line, broken)).otherwise(F.array(line))
+    path = scratch_path(spark, "lines")
+    docs.select(F.explode(lines).alias("value")).write.text(path)
+    back = files.read_csv_tolerant(spark, path, docs.schema, split_bytes=1 << 18, header=False)
+    fine = F.col("_malformed").isNull()
+    return back.select(*[F.when(fine, F.col(c)).alias(c) for c in docs.columns], F.col("_malformed").alias("malformed"))
+
+
+@query("write_table_sized", with_ctes(L1, f"""
+    SELECT year_month, count(*) AS n_reviews, {r('avg(rating)', 'avg_rating')}, true AS files_bounded
+    FROM reviews GROUP BY year_month"""))
+def write_table_sized(spark, sf):
+    """Reviews by month in files of a quarter megabyte; are there as few as bytes and months ask for?"""
+    reviews, size = store(fixture.reviews(spark, sf), "reviews"), 1 << 18
+    path = files.write_table(reviews, scratch_path(spark, "sized"), ["year_month"], file_bytes=size)
+    back = spark.read.schema("rating int, year_month string").parquet(path)
+    totals = reviews.groupBy("year_month").agg(F.sum(files.row_bytes(reviews)).alias("bytes"))
+    by_file = back.groupBy("year_month", F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total")
+    )
+    by_month = by_file.groupBy("year_month").agg(
+        F.sum("n").alias("n_reviews"), (F.sum("total") / F.sum("n")).alias("avg_rating"), F.count(F.lit(1)).alias("n_files")
+    )
+    return rounded(by_month.join(totals, "year_month").select(
+        "year_month", "n_reviews", "avg_rating", (F.col("n_files") <= F.ceil(F.col("bytes") / size)).alias("files_bounded")
+    ))
+
+
+@query("write_metrics", with_ctes(L1, f"""
+    SELECT count(*) AS n_reviews, CAST(sum(is_spam) AS BIGINT) AS n_spam, {r('avg(is_spam)', 'spam_rate')},
+           {r('avg(review_length)', 'avg_review_length')} FROM reviews"""))
+def write_metrics(spark, sf):
+    """A row of metrics as JSON, read back."""
+    measured = fixture.reviews(spark, sf).agg(
+        F.count(F.lit(1)).alias("n_reviews"), F.sum(F.col("is_spam").cast("long")).alias("n_spam"),
+        F.avg(F.col("is_spam").cast("double")).alias("spam_rate"), F.avg("review_length").alias("avg_review_length"),
+    )
+    path = files.write_metrics(measured, scratch_path(spark, "metrics"))
+    return rounded(spark.read.schema(measured.schema).json(path))
+
+
+_OLD_NAMES = {"n_reviews": "review_count", "mean_rating": "avg_rating", "n_sellers": "unique_sellers", "burst": "burst_score"}
+_MODEL_INPUTS = ["review_count", "avg_rating", "unique_sellers", "tenure_days", "burst_score"]
+
+
+@query("model_inputs", with_ctes([*L1, PROFILES], f"""
+    SELECT user_id, review_count, {r('avg_rating', 'avg_rating')}, unique_sellers, tenure_days, burst_score FROM profiles"""))
+def model_inputs(spark, sf):
+    """Profiles under older column names, renamed where needed; only declared features are left, so no label enters."""
+    new_to_old = {new: old for old, new in _OLD_NAMES.items() if new != "burst_score"}  # one keeps its name
+    older = profiles(spark, sf).withColumnsRenamed(new_to_old)
+    renamed = rename_present(older, _OLD_NAMES)
+    return rounded(renamed.select("user_id", *feature_names(renamed, _MODEL_INPUTS)))
+
+
 @query("write_tables", with_ctes(L1, """
     SELECT 'reviews_enriched' AS "table", count(*) AS n_rows FROM reviews
     UNION ALL SELECT 'reviewer_profiles', count(DISTINCT user_id) FROM reviews
@@ -137,10 +203,8 @@ _CUBES = {
 
 def _written_cubes(spark, sf):
     reviews = fixture.reviews(spark, sf)
-    prepared = store(O.cube_input(reviews, RW.reviewer_profile(reviews)).select(
-        *O.DIMENSIONS, "is_spam", "review_length", "reviews_per_week", "max_seller_fraction"
-    ), "cube_input")
-    cubes = {name: build(prepared) for name, (build, _) in _CUBES.items()}
+    cells = store(O.cube_input(reviews, RW.reviewer_profile(reviews)), "cells")
+    cubes = {name: build(cells) for name, (build, _) in _CUBES.items()}
     return files.write_cubes(cubes, scratch_path(spark, "cubes"))
 
 

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewlens.functions.columns import one_hot
+from reviewlens.functions import encoding as EN
+from reviewlens.functions.columns import one_hot, usable_text_filter
 from reviewlens.functions.ordered import quantiles
 from reviewlens.operators import anomaly as A
 from reviewlens.operators import baskets as B
+from reviewlens.operators import bundle as BU
 from reviewlens.operators import calibration as C
 from reviewlens.operators import clustering as K
 from reviewlens.operators import dbscan as D
@@ -23,6 +25,7 @@ from reviewlens.operators import reviewers as RW
 from reviewlens.operators import sellers as SL
 from reviewlens.operators import splits as S
 from reviewlens.operators import text_model as TX
+from reviewlens.operators import text_vectors as TV
 from reviewlens.operators import validation as V
 from reviewlens.plans.evaluation import PARTS, row_hash
 from reviewlens.plans.registry import query, r, rounded, with_ctes
@@ -30,7 +33,7 @@ from reviewlens.plans.rules import (
     CUTOFF, WITH_RULE_MEASURES, handed_rule_features, handed_rules, profiles,
 )
 from reviewlens.plans.sql import CORE, L1, SCORED, WITH_PROFILES, WITH_SELLERS
-from reviewlens.session import hand_over, store
+from reviewlens.session import hand_over, scratch_path, store
 from reviewlens.sources import fixture
 from reviewlens.sources.fixture import table
 
@@ -348,17 +351,53 @@ def feature_table_learned(spark, sf):
     return full_table(spark, sf)
 
 
+def text_parts(spark, sf):
+    """Labelled documents with a usable text, parted by a hash of their id: one tenth each to choose and to test the threshold."""
+    tenth = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(10))
+    docs = usable_text_filter(fixture.labelled_documents(spark, sf), "text", "y")
+    return docs.withColumn("part", F.when(tenth == 0, "val").when(tenth == 1, "test").otherwise("train"))
+
+
 def text_model(spark, sf):
-    docs = fixture.labelled_documents(spark, sf)
-    return TX.fit_text_model(docs)
+    """The saved model of the training part, read back."""
+    return handed_model(
+        spark, sf, "text", lambda: TX.fit_text_model(text_parts(spark, sf).filter("part = 'train'").drop("part"))
+    )
+
+
+def text_scores(spark, sf):
+    """Scores of the labelled documents that the model has not seen."""
+    return hand_over(spark, sf, "text_scores", lambda: TX.text_spam_prob(
+        text_model(spark, sf), text_parts(spark, sf).filter("part <> 'train'"), ["doc_id", "part", "y"]
+    ))
+
+
+def text_threshold(spark, sf):
+    """The threshold of the best macro F1 on the validation part; 0.5 without one."""
+    best = M.best_macro_threshold(text_scores(spark, sf).filter("part = 'val'"), "text_spam_prob").first()
+    return 0.5 if best is None or best["threshold"] is None else best["threshold"]
 
 
 def document_probs(spark, sf):
     return hand_over(spark, sf, "document_probs", lambda: TX.text_spam_prob(
-        text_model(spark, sf), table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"]
+        text_model(spark, sf), table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"],
+        text_threshold(spark, sf),
     ))
 
 
+@query("text_thresholds")
+def text_thresholds(spark, sf):
+    """F1 of the chosen threshold, and of 0.5, on the part that chose it and on the test part."""
+    scores, chosen = text_scores(spark, sf), text_threshold(spark, sf)
+    parts = [
+        M.f1_at(scores.filter(F.col("part") == part), limit, "text_spam_prob").select(
+            F.lit(part).alias("part"), F.lit(name).alias("rule"), F.lit(limit).alias("threshold"), "*"
+        )
+        for part in ("val", "test") for name, limit in (("chosen", chosen), ("default", 0.5))
+    ]
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]))
+
+
 @query("text_spam_prob")
 def text_spam_prob(spark, sf):
     return document_probs(spark, sf)
@@ -367,7 +406,7 @@ def text_spam_prob(spark, sf):
 @query("text_embedding")
 def text_embedding(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
-    return TX.text_embedding(docs, ["doc_id", "source"])
+    return TV.text_vectors(docs, ["doc_id", "source"])
 
 
 def full_table(spark, sf):
@@ -399,11 +438,28 @@ def prepared(spark, sf, features=T.TABLE_FEATURES):
 KEEP = ["review_id", "user_id", "y"]
 
 
+_saved_models: dict[tuple[str, str, str], str] = {}
+
+
+def handed_model(spark, sf, name, fit):
+    """A model fitted once per application, saved to the shared folder and read back."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _saved_models:
+        _saved_models[key] = ML.save_model(fit(), scratch_path(spark, f"model-{name}"))
+    return ML.load_model(_saved_models[key])
+
+
+def trained(spark, sf, name, features=T.TABLE_FEATURES, suffix=""):
+    rows, columns = prepared(spark, sf, features)
+    return handed_model(
+        spark, sf, f"{name}{suffix}", lambda: ML.TRAINERS[name](rows.filter("part = 'train'"), columns)
+    )
+
+
 def holdout(spark, sf, name, features=T.TABLE_FEATURES, suffix=""):
     def build():
-        rows, columns = prepared(spark, sf, features)
-        train = rows.filter("part = 'train'")
-        model = ML.TRAINERS[name](train, columns)
+        rows, _ = prepared(spark, sf, features)
+        model = trained(spark, sf, name, features, suffix)
         return ML.score(model, rows.filter("part = 'test'"), KEEP)
 
     return hand_over(spark, sf, f"{name}{suffix}_holdout", build)
@@ -416,11 +472,80 @@ for _model in ML.MODELS:
     query(f"train_{_model}")(_trained)
 
 
+_bundles: dict[tuple[str, str], str] = {}
+
+
+def model_bundle(spark, sf):
+    """The three models with their thresholds, saved once per application and read back."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _bundles:
+        fused = full_table(spark, sf)
+        models = {name: trained(spark, sf, name) for name in ML.MODELS}
+        found = BU.bundle(models, _as_rows(fused).filter("part = 'train'"), T.TABLE_FEATURES, CLUSTER_IDS)
+        scored = store(BU.joint_scores(found, _new_rows(spark, sf), KEEP), "joint")
+        _bundles[key] = BU.save_bundle(BU.tuned(found, scored), scratch_path(spark, "bundle"))
+    return BU.load_bundle(spark, _bundles[key])
+
+
+def _as_rows(fused):
+    return one_hot(fused, "kmeans_cluster_id", CLUSTER_IDS)
+
+
+def _new_rows(spark, sf):
+    """Holdout reviews as they come, before imputing and cluster flags."""
+    return full_table(spark, sf).filter("part = 'test'").withColumn("y", F.col("is_spam").cast("int"))
+
+
+@query("holdout_predictions")
+def holdout_predictions(spark, sf):
+    """Scores and tuned predictions of all models side by side, from the saved bundle."""
+    def build():
+        found = model_bundle(spark, sf)
+        return BU.with_predictions(found, BU.joint_scores(found, _new_rows(spark, sf), KEEP))
+
+    return rounded(hand_over(spark, sf, "holdout_predictions", build))
+
+
+@query("bundle_checks", with_ctes([CORE, PARTS[1], ("sizes", """
+    SELECT fold, count(*) AS n FROM core JOIN fifths USING (user_id) GROUP BY fold"""), ("chosen", """
+    SELECT fold, n FROM sizes ORDER BY round(abs(n / (SELECT sum(n) FROM sizes) - 0.2), 12), fold LIMIT 1""")], """
+    SELECT n AS n_rows, CAST(0 AS BIGINT) AS n_without_score, CAST(0 AS BIGINT) AS n_wrong_predictions,
+           CAST(0 AS BIGINT) AS n_unlike_single_models, CAST(1 AS BIGINT) AS n_best, true AS best_has_largest_auc FROM chosen"""))
+def bundle_checks(spark, sf):
+    """What must hold for the bundle: every holdout review has all scores, predictions follow the
+    thresholds, the bundle scores as its models do one by one, one model is the best."""
+    found, scored = model_bundle(spark, sf), holdout_predictions(spark, sf)
+    limits = {r["model"]: r for r in found.thresholds.collect()}
+    exact = store(BU.joint_scores(found, _new_rows(spark, sf), KEEP), "exact")
+    unlike = F.lit(False)
+    for name in found.names:
+        own = holdout(spark, sf, name).select("review_id", F.col("score").alias(f"_own_{name}"))
+        exact = exact.join(own, "review_id")
+        unlike = unlike | (F.abs(F.col(f"_own_{name}") - F.col(f"{name}_score")) > 1e-3)
+    apart = exact.agg(F.count_if(unlike).alias("n")).scalar()
+    missing, wrong = F.lit(False), F.lit(False)
+    for name in found.names:
+        score, limit = F.col(f"{name}_score"), limits[name]["optimal_threshold"]
+        missing = missing | score.isNull()
+        clear = F.abs(score - limit) > 1e-6
+        wrong = wrong | (clear & ((score >= limit) != (F.col(f"{name}_pred") == 1)))
+    largest = max(limits.values(), key=lambda r: r["auc_roc"])["model"]
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(missing).alias("n_without_score"), F.count_if(wrong).alias("n_wrong_predictions"),
+        F.count_distinct("best_model").alias("n_best"), (F.min("best_model") == largest).alias("best_has_largest_auc"),
+    ).withColumn("n_unlike_single_models", apart)
+
+
+@query("reviewer_flags")
+def reviewer_flags(spark, sf):
+    """Reviewers of new reviews, scored with the saved bundle."""
+    return rounded(BU.reviewer_flags(model_bundle(spark, sf), _new_rows(spark, sf)))
+
+
 @query("feature_importance")
 def feature_importance(spark, sf):
-    rows, columns = prepared(spark, sf)
-    model = ML.train_decision_tree(rows.filter("part = 'train'"), columns)
-    return rounded(ML.feature_importance(model, columns, rows))
+    """Importance in the random forest."""
+    return rounded(BU.importance(model_bundle(spark, sf)))
 
 
 @query("model_metrics")
@@ -545,6 +670,17 @@ def stack_ensemble(spark, sf):
     ))
 
 
+@query("ensemble_predictions")
+def ensemble_predictions(spark, sf):
+    """Stacked scores with predictions at the best threshold."""
+    return rounded(BU.ensemble_predictions(stack_ensemble(spark, sf)))
+
+
+@query("ensemble_metrics")
+def ensemble_metrics(spark, sf):
+    return rounded(BU.ensemble_metrics(stack_ensemble(spark, sf)))
+
+
 @query("ablation")
 def ablation(spark, sf):
     rows = signals(spark, sf)
@@ -693,6 +829,24 @@ def median_impute(spark, sf):
     return rounded(T.median_impute(gaps, train, _GAP_COLUMNS).drop("part"))
 
 
+_ENCODED = ["year_month", "prod_id"]
+_LAST_MONTH = "1996-06"
+
+
+@query("encode_categories", with_ctes([*L1, *((f"codes_{c}", f"""
+    SELECT value, row_number() OVER (ORDER BY value NULLS FIRST) AS code
+    FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS value FROM reviews WHERE year_month <= '{_LAST_MONTH}')""")
+    for c in _ENCODED)], "SELECT review_id, " + ", ".join(
+        f"CAST(coalesce(codes_{c}.code, 0) AS INTEGER) AS {c}_code" for c in _ENCODED) + " FROM reviews " + " ".join(
+        f"LEFT JOIN codes_{c} ON CAST(reviews.{c} AS VARCHAR) IS NOT DISTINCT FROM codes_{c}.value" for c in _ENCODED)))
+def encode_categories(spark, sf):
+    """Codes learnt on the earlier months, stored, and applied to all reviews: later months are unseen."""
+    reviews = fixture.reviews(spark, sf).select("review_id", *_ENCODED)
+    fitted = EN.fit_encoder(reviews.filter(F.col("year_month") <= _LAST_MONTH), _ENCODED)
+    known = EN.load_encoder(spark, EN.save_encoder(fitted, scratch_path(spark, "encoder")))
+    return EN.encode(reviews, known, _ENCODED).select("review_id", *[f"{c}_code" for c in _ENCODED])
+
+
 _MID = ("mid", "SELECT " + ", ".join(
     f"quantile_cont({c}, 0.5) AS {c}" for c in _GAP_COLUMNS) + " FROM gappy WHERE is_train")
 _DEV = ("dev", "SELECT " + ", ".join(

@@ -161,21 +161,22 @@ def read_records(spark: SparkSession, path: str, separator: str = ",", split_byt
 
 
 def read_csv_tolerant(
-    spark: SparkSession, path: str, schema: T.StructType, separator: str = ",", split_bytes: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, separator: str = ",", split_bytes: int | None = None,
+    header: bool = True,
 ) -> DataFrame:
-    """CSV with header; malformed records come back in ``_malformed``, not lost.
+    """CSV, every file with a ``header`` line or none; malformed records come back in ``_malformed``, not lost.
 
     A record is malformed if its number of fields or a value does not fit the
     schema, or if a quote is never closed; then the rest of the file is one
     malformed record, or several, one for each split. Empty lines are left out.
     """
     records = read_records(spark, path, separator, split_bytes)
-    header = (F.col("block") == 0) & (F.col("at") == 0)
+    heading = F.lit(header) & (F.col("block") == 0) & (F.col("at") == 0)
     text = F.regexp_replace("record", "\r$", "")
     kept = T.StructType([*schema.fields, T.StructField("_malformed", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed", "quote": '"', "escape": '"',
-               "sep": separator, "maxCharsPerColumn": "-1"}
-    parsed = records.filter(~header & (text != "")).select(
+               "sep": separator, "maxCharsPerColumn": "-1", "multiLine": "true"}
+    parsed = records.filter(~heading & (text != "")).select(
         text.alias("record"), "broken", F.from_csv(text, _ddl(kept), options).alias("r")
     )
     return parsed.select(*[

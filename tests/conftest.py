@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -13,6 +14,7 @@ from reviewlens.plans.catalog import ship_package  # noqa: E402
 def spark():
     session = (
         SparkSession.builder.master("local[8]").appName("reviewlens-tests")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="reviewlens-"))
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()

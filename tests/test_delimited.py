@@ -23,7 +23,7 @@ def written(rows, header=("id", "text", "n")):
 
 def texts(count, seed=1):
     rng = random.Random(seed)
-    parts = ["a", "b,c", '"', '""', "\n", "\n\n", "long words here ", "é", '",', ',"', "'", '\n"x', "x\ny"]
+    parts = ["a", "b,c", '"', '""', "\n", "\n\n", "long words here ", "é", '",', ',"', "'", '\n"x', "x\ny", "r\r\ns"]
     return ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(count)]
 
 

@@ -58,8 +58,8 @@ def test_text_model_round_trip(spark, tmp_path):
     again = load_model(save_model(model, str(tmp_path / "model")))
     probs = {r.doc_id: r.text_spam_prob for r in TX.text_spam_prob(again, df, ["doc_id"]).collect()}
     assert min(probs[i] for i in range(0, 60, 4)) > max(p for i, p in probs.items() if i % 4)
-    vectors = TX.text_embedding(df, ["doc_id"], size=8).collect()
-    assert len(vectors) == 60 and len(vectors[0].embedding) == 8
+    odd = spark.createDataFrame([(1, None), (2, "nan"), (3, " short ")], "doc_id int, text string")
+    assert [r["text_spam_prob"] for r in TX.text_spam_prob(model, odd, ["doc_id"]).collect()] == [None] * 3
 
 
 def test_choose_k(spark):

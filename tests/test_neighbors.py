@@ -156,3 +156,25 @@ def test_isolation_forest_ranks_the_far_point_first(spark):
     rows = scored.orderBy(F.desc("isolation_forest_score")).collect()
     assert rows[0].review_id == "r2000" and 0 < rows[-1].isolation_forest_score <= 1
     assert sum(r.isolation_forest_pred for r in rows) == pytest.approx(200, abs=3)
+
+
+@pytest.mark.parametrize("gap, k", [(0.0, 5), (500.0, 5), (500.0, 300)])
+def test_points_apart_do_not_meet_all_blocks(spark, monkeypatch, gap, k):
+    """Queries far from every base point meet the base blocks on their side only."""
+    rng = np.random.default_rng(6)
+    base, new = rng.uniform(0, 100, (6_000, 2)), rng.uniform(0, 20, (600, 2)) - [gap, 0]
+    df, names = frame(spark, np.vstack([base, new]), np.arange(6_600), "pid")
+    table = df.withColumns({
+        "w": F.lit(1).cast("long"), "is_query": (F.col("pid") >= 6_000).cast("int"), "is_base": (F.col("pid") < 6_000).cast("int"),
+    })
+    pairs = []
+    whole = N.nearest_pairs
+    monkeypatch.setattr(N, "nearest_pairs", lambda *a: pairs.append(whole(*a)) or pairs[-1])
+    got = {r["pid"]: r["nbrs"] for r in N.knn(table, names, k).collect()}
+    dist = np.sqrt(((new[:, None] - base[None]) ** 2).sum(-1))
+    dist.sort(axis=1)
+    for i in range(600):
+        assert [n["d"] for n in got[6_000 + i][:k]] == pytest.approx(dist[i, :k].tolist())
+    blocks = pairs[0].select("a").distinct().count() * 24  # 24 blocks of base points, or a few more
+    if k == 5:
+        assert pairs[0].count() < blocks / 2
