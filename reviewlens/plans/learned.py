@@ -496,14 +496,18 @@ def _new_rows(spark, sf):
     return full_table(spark, sf).filter("part = 'test'").withColumn("y", F.col("is_spam").cast("int"))
 
 
-@query("holdout_predictions")
-def holdout_predictions(spark, sf):
-    """Scores and tuned predictions of all models side by side, from the saved bundle."""
+def hand_over_predictions(spark, sf):
     def build():
         found = model_bundle(spark, sf)
         return BU.with_predictions(found, BU.joint_scores(found, _new_rows(spark, sf), KEEP))
 
-    return rounded(hand_over(spark, sf, "holdout_predictions", build))
+    return hand_over(spark, sf, "holdout_predictions", build)
+
+
+@query("holdout_predictions")
+def holdout_predictions(spark, sf):
+    """Scores and tuned predictions of all models side by side, from the saved bundle."""
+    return rounded(hand_over_predictions(spark, sf))
 
 
 @query("bundle_checks", with_ctes([CORE, PARTS[1], ("sizes", """
@@ -529,7 +533,7 @@ def bundle_checks(spark, sf):
         missing = missing | score.isNull()
         clear = F.abs(score - limit) > 1e-6
         wrong = wrong | (clear & ((score >= limit) != (F.col(f"{name}_pred") == 1)))
-    largest = max(limits.values(), key=lambda r: r["auc_roc"])["model"]
+    largest = max(limits.values(), key=lambda r: (r["auc_roc"], r["model"]))["model"]
     return scored.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(missing).alias("n_without_score"), F.count_if(wrong).alias("n_wrong_predictions"),
         F.count_distinct("best_model").alias("n_best"), (F.min("best_model") == largest).alias("best_has_largest_auc"),
@@ -1030,6 +1034,59 @@ def agreement_extremes_whole(spark, sf):
     return rounded(V.agreement_extremes(all_overlaps(spark, sf)))
 
 
+# the test tables have about 1,300 holdout reviewers, so only a K below that tells signals apart
+SMALL_KS = [50, 100, 200]
+_SMALL_OVERLAPS = ("agreement", _OVERLAPS[1].replace("[500, 1000, 2000, 5000, 10000]", str(SMALL_KS)))
+_SMALL_CTES = [_ALL_RANKINGS, _RANKED, _ALL_PAIRS, _SMALL_OVERLAPS]
+
+
+@query("topk_jaccard_small", with_dbscan(_RANKING_CTES, _SMALL_CTES, f"""
+    SELECT CAST(k AS INTEGER) AS k, signal_a, signal_b, intersection, "union", {r('jaccard', 'jaccard')}
+    FROM agreement"""))
+def topk_jaccard_small(spark, sf):
+    return rounded(V.topk_jaccard(all_rankings(spark, sf), ALL_SIGNALS, SMALL_KS))
+
+
+@query("agreement_extremes_small", with_dbscan(_RANKING_CTES, _SMALL_CTES, """
+    SELECT max(struct_pack(j := jaccard, p := signal_a || ' vs ' || signal_b)).p AS strongest,
+           round(max(jaccard), 6) AS strongest_jaccard,
+           min(struct_pack(j := jaccard, p := signal_a || ' vs ' || signal_b)).p AS weakest,
+           round(min(jaccard), 6) AS weakest_jaccard
+    FROM agreement WHERE k = 100"""))
+def agreement_extremes_small(spark, sf):
+    return rounded(V.agreement_extremes(V.topk_jaccard(all_rankings(spark, sf), ALL_SIGNALS, SMALL_KS), 100))
+
+
+def learned_rankings(spark, sf):
+    """The six rankings with learned clusters, the bundle's best model and the isolation forest, over the holdout reviewers."""
+    def build():
+        people, scored = profiles(spark, sf), hand_over_predictions(spark, sf)
+        best = scored.select("best_model").first()["best_model"]
+        table = V.signal_rankings({
+            "behavioral": V.plain_ranking(people, "spam_rate", "review_count"),
+            "rules": V.plain_ranking(handed_rule_features(spark, sf), "l2_rule_max_weight", "l2_rule_partial_max"),
+            "kmeans": V.cluster_ranking(kmeans_labels(spark, sf), people, "cluster_id"),
+            "dbscan": V.cluster_ranking(dbscan_labels(spark, sf), people, "dbscan_cluster"),
+            "supervised": V.plain_ranking(V.reviewer_scores(scored, f"{best}_score"), f"{best}_score"),
+            "anomaly": V.plain_ranking(
+                V.reviewer_scores(forest_holdout(spark, sf), "isolation_forest_score"), "isolation_forest_score"),
+        }, scored.select("user_id"))
+        return table.withColumns({c: F.round(c, 12) for c in ("key1", "key2")})
+
+    return hand_over(spark, sf, "learned_rankings", build)
+
+
+@query("signal_rankings_learned")
+def signal_rankings_learned(spark, sf):
+    return rounded(learned_rankings(spark, sf))
+
+
+@query("topk_jaccard_learned")
+def topk_jaccard_learned(spark, sf):
+    """Overlaps of the learned rankings, at the given and at small K."""
+    return rounded(V.topk_jaccard(learned_rankings(spark, sf), ALL_SIGNALS, [*SMALL_KS, *V.K_VALUES]))
+
+
 def known_and_new(spark, sf):
     """Holdout reviewers play the new profiles, all others are known."""
     new = test_users(spark, sf)
