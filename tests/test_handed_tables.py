@@ -6,8 +6,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from reviewlens import session
+from reviewlens.operators import fusion as T
 from reviewlens.operators import reviewers as RW
-from reviewlens.sources import fixture
+from reviewlens.operators import sellers as SL
+from reviewlens.plans import learned
+from reviewlens.sources import files, fixture
 
 
 def test_tables_kept_on_the_way_go_when_the_handed_table_is_written(spark):
@@ -26,15 +29,27 @@ def test_tables_kept_on_the_way_go_when_the_handed_table_is_written(spark):
     assert alone.count() == 3
 
 
-def test_shuffle_files_go_with_the_write(spark):
-    def shuffles():
-        return set(spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().keys().mkString(",").split(","))
+def _shuffles(spark):
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    return set(tracker.shuffleStatuses().keys().mkString(",").split(",")) - {""}
+
 
-    before = shuffles()
+def test_shuffle_files_go_with_the_write(spark):
+    before = _shuffles(spark)
     session.store(spark.range(1000).groupBy(F.col("id") % 7).count(), "counts")
-    assert not shuffles() - before - {""}
+    assert not _shuffles(spark) - before
     session.hand_over(spark, "test", "counts", lambda: spark.range(1000).groupBy(F.col("id") % 7).count())
-    assert not shuffles() - before - {""}
+    assert not _shuffles(spark) - before
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    before = _shuffles(spark)
+    counts = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    files.write_table(counts, f"{tmp_path}/plain")
+    files.write_table(counts, f"{tmp_path}/parted", ["k"])
+    files.write_csv(counts, f"{tmp_path}/csv")
+    assert not _shuffles(spark) - before
+    assert spark.read.parquet(f"{tmp_path}/parted").count() == spark.read.parquet(f"{tmp_path}/plain").count() == 7
 
 
 def _tables(spark, folder):
@@ -82,3 +97,54 @@ def test_profiles_with_null_users_and_products(spark):
     assert (one.avg_rating, one.avg_review_length, one.tenure_days, one.burst_score) == (11 / 3, 20.0, 31, 2)
     assert (none.review_count, none.unique_sellers, none.max_seller_fraction, none.tenure_days) == (2, 1, 0.5, 8)
     assert none.burst_score == 1 and none.avg_days_between_reviews == 8.0
+
+
+def test_cluster_profile_reads_the_handed_profiles(spark, tmp_path):
+    _tables(spark, tmp_path)
+    learned.cluster_profile(spark, str(tmp_path)).collect()
+    assert any(scope == str(tmp_path) and name == "reviewer_profiles" for _, scope, name in session._handed_over)
+
+
+def _fused(spark, ids, with_own):
+    """The feature table over reviews of two documents, one of them with two scores."""
+    columns = {c: F.lit(1) for c in T.REVIEW_FEATURES}
+    reviews = spark.createDataFrame(
+        [(r, 1 + i % 2, 5, i % 2, i % 3) for i, r in enumerate(ids)], "review_id string, user_id long, prod_id long, is_spam int, doc_id long"
+    ).withColumns(columns)
+    people = spark.createDataFrame([(1,), (2,)], "user_id long").withColumns({c: F.lit(2.0) for c in T.REVIEWER_FEATURES})
+    rules = people.select("user_id", *[F.lit(0.5).alias(c) for c in T.RULE_FEATURES])
+    scores = spark.createDataFrame([(0, 0.25), (1, 0.5), (1, 0.75)], f"doc_id long, {T.TEXT_SCORE} double")
+    if with_own:
+        reviews, by_review = T.scored_reviews(reviews, scores)
+    else:
+        by_review = reviews.join(scores, "doc_id").select("review_id", T.TEXT_SCORE)
+    return T.feature_table(reviews, people, rules, text_scores=by_review), by_review
+
+
+def test_text_scores_of_unique_reviews_need_no_join_by_review(spark):
+    unique, repeated, unnamed = list("abcdefg"), list("aabcdde"), ["a", "b", None, "c"]
+    for ids, local in ((unique, True), (repeated, False), (unnamed, False)):
+        got, by_review = _fused(spark, ids, True)
+        want, _ = _fused(spark, ids, False)
+        assert (by_review is None) == local
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert ("hashpartitioning(review_id" in got._jdf.queryExecution().executedPlan().toString()) <= (not local)
+
+
+def test_sellers_with_null_users_and_products(spark):
+    rows = [(5, 1, 4, 1, "2020-01-01"), (5, 1, 2, 0, "2020-01-08"), (5, 2, None, 0, None), (5, None, 3, 1, "2020-01-02"),
+            (None, 2, 5, 0, "2020-01-01")]
+    reviews = spark.createDataFrame(
+        rows, "prod_id long, user_id long, rating int, is_spam int, review_date string"
+    ).withColumn("review_date", F.to_date("review_date")).withColumn("business_name", F.lit("x"))
+    reviewers = spark.createDataFrame([(1, 0.9), (2, 0.1)], "user_id long, spam_rate double")
+    sellers = SL.seller_profile(reviews, reviewers)
+    got = {r.prod_id: r for r in sellers.collect()}
+    assert set(got) == {5, None}
+    five = got[5]
+    assert (five.total_reviews, five.spam_reviews, five.unique_reviewers, five.active_days) == (4, 2, 2, 7)
+    assert (five.avg_rating, five.rating_std, five.suspicious_reviewer_fraction) == (3.0, 1.0, 0.5)
+    assert (got[None].total_reviews, got[None].rating_std, got[None].suspicious_reviewer_fraction) == (1, 0.0, 0.0)
+    plan = sellers._jdf.queryExecution().executedPlan().toString()  # only keys are dealt out by product and reviewer
+    assert not any("user_id" in line.split("functions=")[0] and "sum(" in line for line in plan.split("\n"))
