@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ SPARE = 8       # further columns of the range finder
 ROUNDS = 4
 WINDOW = 4
 SEED = 42
+WORDS_AT_ONCE = 1 << 19  # whose pairs a task lists
+PAIRS_AT_ONCE = 1 << 22  # different pairs that a task holds, about
 
 
 def bucket_list(text: Column, buckets: int) -> Column:
@@ -39,18 +42,60 @@ def bucket_list(text: Column, buckets: int) -> Column:
     return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
 
 
+def _held(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of pairs in order, each once, with the sum of their counts."""
+    keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts, first)
+
+
+def _count_pairs(window: int):
+    """(pair, n): how often two buckets meet, the smaller in the upper half of
+    ``pair``. What a task has counted is sent on whenever it holds many pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def made() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(x) for x in held.pop()], ["pair", "n"])
+
+        for batch in batches:
+            lists = batch.column("h")
+            words = lists.flatten().to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            for start in range(0, len(words), WORDS_AT_ONCE):
+                found = []
+                for d in range(1, window + 1):
+                    x, y = words[start:start + WORDS_AT_ONCE], words[start + d:start + WORDS_AT_ONCE + d]
+                    x = x[:len(y)]
+                    same = row[start:start + len(y)] == row[start + d:start + d + len(y)]
+                    found.append((np.minimum(x, y) << 32 | np.maximum(x, y))[same])
+                pairs, counts = np.unique(np.concatenate(found), return_counts=True)
+                if len(pairs):
+                    held = [_held([*held, (pairs, counts)])]
+                    if len(held[0][0]) > PAIRS_AT_ONCE:
+                        yield made()
+        if held:
+            yield made()
+
+    return run
+
+
 def pair_counts(listed: DataFrame, window: int = WINDOW) -> DataFrame:
     """(a, b, n), stored: how often two buckets meet, both ways round; all pairs of
     one row a lie in one task, in the order of b."""
-    h, size = F.col("h"), F.size("h")
-    steps = F.filter(F.sequence(F.lit(1), F.lit(window)), lambda d: d < size)
-    met = F.flatten(F.transform(steps, lambda d: F.zip_with(
-        F.slice(h, F.lit(1), size - d), F.slice(h, d + 1, size - d), lambda x, y: F.struct(x.alias("a"), y.alias("b"))
-    )))
-    counted = listed.select(F.explode(met).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
-    both = store(counted, "pairs")
-    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"), "n")).groupBy("a", "b").agg(F.sum("n").alias("n"))
     parts = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = listed.select("h").mapInArrow(_count_pairs(window), "pair long, n long")
+    # every task sends a pair few times, so it is not counted again before it moves
+    counted = store(met.repartition(parts, "pair").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
+    one_way = counted.select(
+        F.shiftright("pair", 32).cast("int").alias("a"), F.col("pair").bitwiseAND((1 << 32) - 1).cast("int").alias("b"), "n"
+    )
+    both = one_way.withColumn("n", F.when(F.col("a") == F.col("b"), 2 * F.col("n")).otherwise(F.col("n"))).unionByName(
+        one_way.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "n")
+    )
     return store(both.repartition(parts, "a").sortWithinPartitions("a", "b"), "matrix")
 
 
@@ -81,8 +126,9 @@ def _times(pairs: DataFrame, totals: np.ndarray, block: np.ndarray) -> np.ndarra
             yield made(held)
 
     out = np.zeros_like(block)
-    for row in pairs.mapInPandas(rows, "a int, v array<double>").toLocalIterator():  # at most one row per bucket
-        out[row["a"]] = row["v"]
+    found = pairs.mapInPandas(rows, "a int, v array<double>").toArrow()  # at most one row per bucket, from all tasks at once
+    if found.num_rows:
+        out[found["a"].to_numpy()] = found["v"].combine_chunks().flatten().to_numpy().reshape(-1, block.shape[1])
     return out
 
 

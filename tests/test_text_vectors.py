@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from reviewlens.operators import text_vectors as TV
@@ -48,3 +49,38 @@ def test_vectors_match_a_plain_decomposition(spark, texts):
     best = np.argsort(-np.abs(values))[:56]
     want = vectors[:, best] * np.sqrt(np.abs(values[best]))
     assert np.allclose(got @ got.T, want @ want.T, atol=1e-2)
+
+
+def test_pairs_are_counted_across_small_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    lists = [rng.integers(0, 9, size=n).tolist() for n in (0, 1, 2, 3, 40, 7)]
+    df = spark.createDataFrame([(h,) for h in lists], "h array<int>").repartition(2)
+    want = {}
+    for h in lists:
+        for i, x in enumerate(h):
+            for y in h[i + 1:i + 1 + TV.WINDOW]:
+                want[x, y] = want.get((x, y), 0) + 1
+                want[y, x] = want.get((y, x), 0) + 1
+    batch = pa.record_batch([pa.array(lists, pa.list_(pa.int32()))], ["h"])
+    monkeypatch.setattr(TV, "WORDS_AT_ONCE", 5)
+    monkeypatch.setattr(TV, "PAIRS_AT_ONCE", 3)
+    sent = [r for part in TV._count_pairs(TV.WINDOW)(iter([batch, batch])) for r in part.to_pylist()]
+    one_way = {}
+    for r in sent:
+        key = (r["pair"] >> 32, r["pair"] & 0xFFFFFFFF)
+        one_way[key] = one_way.get(key, 0) + r["n"]
+    assert one_way == {(a, b): 2 * n if a < b else n for (a, b), n in want.items() if a <= b}
+    assert {(r["a"], r["b"]): r["n"] for r in TV.pair_counts(df).collect()} == want
+    assert TV.pair_counts(df.filter("false")).count() == 0
+
+
+def test_products_of_all_tasks_are_gathered_at_once(spark, monkeypatch):
+    """One task after the other, a round took as long as all of its tasks together."""
+    def refuse(*_, **__):
+        raise AssertionError("one task at a time")
+
+    pairs = spark.createDataFrame([(0, 1, 2), (1, 0, 2)], "a int, b int, n long").coalesce(1)
+    monkeypatch.setattr(type(pairs), "toLocalIterator", refuse)
+    got = TV._times(pairs, np.array([2.0, 2.0, 0.0]), np.eye(3, 2))
+    assert np.allclose(got, np.log(2) * np.array([[0, 1], [1, 0], [0, 0]]))
+    assert np.allclose(TV._times(pairs.filter("false"), np.ones(3), np.eye(3, 2)), 0)
